@@ -36,8 +36,6 @@ GRAM = 96
 REACH = LENGTH - GRAM  # a window's elected place is at most so many bytes after its start
 RUN_ENTRIES = 20_000
 BLOCK_ENTRIES = 4096
-#: Rows of a join side, with one entry for each, up to which it is sent to every executor (about 40 bytes each).
-SMALL_ENTRIES = 1_000_000
 _LOWEST = -(1 << 63)
 
 
@@ -252,41 +250,38 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(block)
 
 
-def _maybe_broadcast(df: DataFrame, entries: int) -> DataFrame:
-    """Send a side to all executors if it is known to be small; a larger one is shuffled."""
-    return F.broadcast(df) if entries <= SMALL_ENTRIES else df
+def repeated_spans(keyed: DataFrame, texts: DataFrame) -> DataFrame:
+    """(key, mark, spans): byte spans [lo, hi) of repeated windows, unmerged, of each of the ``_keyed`` texts that has any.
 
-
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
-    """(key, mark, spans): byte spans [lo, hi) of repeated windows, unmerged, of each text that has any; their number."""
-    spark = docs.sparkSession
+    ``texts``: the same rows, dealt by key and mark.
+    """
+    spark = keyed.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    texts = _keyed(docs, id_col, text_col)
     schema = "key long, mark long, pos long, before int, after int, gram long, context long"
-    places = materialize(map_arrow(texts.filter(F.octet_length("text") >= LENGTH), _places, schema), "places")
-    grams = places.groupBy("gram").agg(F.count("*").alias("n"), (F.min("context") != F.max("context")).alias("mixed")).filter("n > 1").select("gram", "mixed")
-    shared = materialize(places.join(grams, "gram"), "shared-places")
+    places = materialize(map_arrow(keyed.filter(F.octet_length("text") >= LENGTH).select("key", "text", "mark"), _places, schema), "places")
+    # Written tables on both sides of a join let adaptive execution split a gram that many places have.
+    grams = places.groupBy("gram").agg(F.count("*").alias("n"), (F.min("context") != F.max("context")).alias("mixed")).filter("n > 1")
+    shared = materialize(places.join(materialize(grams.select("gram", "mixed"), "grams"), "gram"), "shared-places")
     classes = shared.groupBy("gram", "context", "mixed").agg(F.count("*").alias("n"), F.min(F.struct("key", "mark", "pos", "before", "after")).alias("r"))
     classes = materialize(classes, "contexts")
     whole = classes.filter("n > 1").select("gram", "context", F.greatest(F.lit(0), LENGTH - F.col("r.after")).alias("lo"), F.col("r.before").alias("hi")).filter("lo <= hi")
     want = F.struct(F.col("r.pos").alias("pos"), F.col("r.before").alias("before"), F.col("r.after").alias("after"), "gram", "context")
-    mixed = classes.filter("mixed")
-    wanted = mixed.groupBy(F.col("r.key").alias("key"), F.col("r.mark").alias("mark")).agg(F.collect_list(want).alias("wants"))
-    # Rows with one id and one text are the same text: any of them serves.
-    fetched = texts.join(_maybe_broadcast(wanted, mixed.count()), ["key", "mark"])
-    if _repeats(shared):
+    wanted = classes.filter("mixed").groupBy(F.col("r.key").alias("key"), F.col("r.mark").alias("mark")).agg(F.collect_list(want).alias("wants"))
+    fetched = texts.join(wanted, ["key", "mark"])
+    if _repeats(shared):  # rows with one id and one text are the same text: any of them serves
         fetched = fetched.dropDuplicates(["key", "mark"])
     runs = map_arrow(fetched.select("text", "wants"), _runs(parts), "part int, run binary").repartition(parts, "part")
     some = map_arrow(runs, _merge, "gram long, context long, lo int, hi int")
-    single = some.join(classes.filter("mixed and n = 1").select("gram", "context"), ["gram", "context"], "left_semi")
-    hits = whole.unionByName(single)
-    spans = shared.join(hits, ["gram", "context"]).select("key", "mark", F.struct((F.col("pos") - F.col("hi")).alias("lo"), (F.col("pos") - F.col("lo") + LENGTH).alias("hi")).alias("span"))
-    grouped = materialize(spans.groupBy("key", "mark").agg(F.sort_array(F.collect_set("span")).alias("spans")), "spans")
-    return grouped, grouped.agg(F.sum(F.size("spans"))).first()[0] or 0
+    single = classes.filter("mixed and n = 1").select("gram", "context", "r.key", "r.mark", "r.pos")
+    span = F.struct((F.col("pos") - F.col("hi")).alias("lo"), (F.col("pos") - F.col("lo") + LENGTH).alias("hi")).alias("span")
+    spans = shared.join(whole, ["gram", "context"]).select("key", "mark", span).unionByName(some.join(single, ["gram", "context"]).select("key", "mark", span))
+    return spans.groupBy("key", "mark").agg(F.collect_set("span").alias("spans"))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return doc_texts(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(_LOWEST)).alias("key"), "text", F.xxhash64("text").alias("mark"))
+    """(key, mark, known, text): key and mark tell texts apart, and are never null."""
+    texts = doc_texts(docs, id_col, text_col)
+    return texts.select(F.coalesce("doc_id", F.lit(_LOWEST)).alias("key"), F.xxhash64("text").alias("mark"), F.col("doc_id").isNotNull().alias("known"), "text")
 
 
 def _repeats(places: DataFrame) -> bool:
@@ -308,9 +303,13 @@ def _cut(raw: bytes, spans: list[dict] | None) -> tuple[bytes, int]:
 
 
 def _with_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    spans, n = repeated_spans(docs, id_col, text_col)
-    texts = doc_texts(docs, id_col, text_col).select("doc_id", "text", F.coalesce("doc_id", F.lit(_LOWEST)).alias("key"), F.xxhash64("text").alias("mark"))
-    return texts.join(_maybe_broadcast(spans, n), ["key", "mark"], "left").select("doc_id", "text", "spans")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    keyed = _keyed(docs, id_col, text_col)
+    # One exchange of the texts, by key and mark, serves both joins: the contexts are fetched from it and the spans meet it.
+    texts = keyed.repartition(parts, "key", "mark")
+    spans = repeated_spans(keyed, texts)
+    joined = texts.join(spans, ["key", "mark"], "left")
+    return joined.select(F.when(F.col("known"), F.col("key")).alias("doc_id"), "text", "spans")
 
 
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
