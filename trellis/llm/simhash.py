@@ -296,7 +296,8 @@ def simhash_components(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id"
     # One document id may stand for several fingerprints, if ids repeat: then they are one node.
     roots = connected_components(links)
     classes = members.join(roots, members["id"] == roots["node"], "left").select("fp", F.coalesce("root", "id").alias("component_id"))
-    own = table.join(classes, "fp")
+    # Both sides are written tables, so that adaptive execution can split a fingerprint that many documents have.
+    own = table.join(materialize(classes, "classes"), "fp")
     return own.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
@@ -420,7 +421,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     dealt = dealt.repartition(parts, "band", "key", "ti", "tj").sortWithinPartitions("band", "key", "ti", "tj")
     roots = connected_components(map_arrow(dealt, _link_tiles, "u long, v long"))
     merged = classes.join(roots, classes["id"] == roots["node"], "left").select("same", F.coalesce("root", "id").alias("component_id"))
-    return table.join(merged, "same").select("doc_id", "component_id")
+    return table.join(materialize(merged, "classes"), "same").select("doc_id", "component_id")
 
 
 def _has_repeats(table: DataFrame) -> bool:
