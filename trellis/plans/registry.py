@@ -2,6 +2,35 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+import functools
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from trellis.session import ship_package
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
 FLAGSHIP = "kg_related_terms"
+
+
+def query(sql: str | None = None):
+    def register(function):
+        @functools.wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[function.__name__] = run
+        if sql is not None:
+            ORACLE_SQL[function.__name__] = sql
+        return function
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+from trellis.plans import graph_queries, link_queries, text_queries  # noqa: E402, F401
