@@ -6,9 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trellis.session import ship_package
+
 CHUNK_BYTES = 1 << 20
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -46,24 +46,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, as a zip that Spark distributes."""
-    context = spark.sparkContext
-    if getattr(context, "_trellis_shipped", False):
-        return
-    root = Path(__file__).resolve().parents[1]
-    folder = tempfile.mkdtemp(prefix="trellis-code-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    with zipfile.ZipFile(f"{folder}/trellis_code.zip", "w") as archive:
-        for path in sorted(root.rglob("*.py")):
-            archive.write(path, str(path.relative_to(root.parent)))
-    context.addPyFile(f"{folder}/trellis_code.zip")
-    context._trellis_shipped = True
-
-
 def map_arrow(df: DataFrame, function, schema) -> DataFrame:
     """``mapInArrow`` with this package importable on the executors."""
-    _ship(df.sparkSession)
+    ship_package(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 
