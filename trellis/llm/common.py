@@ -57,6 +57,11 @@ def doc_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def hash_limit(share: float) -> int:
+    """The 64-bit signed hash below or at which about this share of all hashes lies."""
+    return min((1 << 63) - 1, int(-(1 << 63) + min(1.0, share) * ((1 << 64) - 1)))
+
+
 def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column (null: empty) and the offsets of its rows."""
     if isinstance(column, pa.ChunkedArray):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trellis.llm.common import map_arrow, row_chunks, text_buffer
+from trellis.llm.common import hash_limit, map_arrow, row_chunks, text_buffer
 
 ORDER = 3
 MAX_DOCS = 300
@@ -164,7 +164,7 @@ def fit(docs: DataFrame, max_docs: int = MAX_DOCS, id_col: str = "doc_id", text_
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES + 1).collect()}
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    lowest = {lang: int(-(1 << 63) + min(1.0, 1.1 * max_docs / n) * ((1 << 64) - 1)) for lang, n in sizes.items()}
+    lowest = {lang: hash_limit(1.1 * max_docs / n) for lang, n in sizes.items()}
     if not lowest:
         return None
     limit = F.create_map(*[F.lit(x) for pair in lowest.items() for x in pair])

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trellis.llm.common import doc_texts, map_arrow, prefix_hash, row_chunks, separator_table, span_hash, text_buffer, word_spans
+from trellis.llm.common import doc_texts, hash_limit, map_arrow, prefix_hash, row_chunks, separator_table, span_hash, text_buffer, word_spans
 
 WORD_BITS = 16
 BINS = 16
@@ -160,8 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED_ROWS) -
     chosen = usable.withColumn("order", F.xxhash64(F.col("doc_id")))
     if n > max_rows:
         # The hash threshold leaves a few more than max_rows ids, and only those are ordered.
-        share = min(1.0, 1.2 * max_rows / n)
-        chosen = chosen.filter(F.col("order") < F.lit(int(-(1 << 63) + share * ((1 << 64) - 1))))
+        chosen = chosen.filter(F.col("order") <= F.lit(hash_limit(1.2 * max_rows / n)))
     picked = [tuple(r) for r in chosen.orderBy("order", "doc_id", "label").limit(max_rows).select("doc_id", "label").collect()]
     if not picked:
         return train([])
