@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trellis.llm.common import doc_texts, map_arrow
 
@@ -254,7 +255,7 @@ def round_trip_digest(docs: DataFrame, model_path: str, id_col: str = "doc_id",
 def with_pieces(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
     """``docs`` with all their columns, and piece_ids and decoded (the ids decoded again) beside them."""
     data, at = docs.sparkSession.sparkContext.broadcast(_model_bytes(model_path)), docs.columns.index(text_col)
-    schema = docs.drop("piece_ids", "decoded").schema.add("piece_ids", "array<int>").add("decoded", "string")
+    schema = docs.drop("piece_ids", "decoded").schema.add("piece_ids", T.ArrayType(T.IntegerType())).add("decoded", T.StringType())
     keep = [k for k, c in enumerate(docs.columns) if c not in ("piece_ids", "decoded")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
