@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
@@ -46,10 +49,33 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows in an Arrow batch where the session has Spark's default: whole texts make large rows.
+BATCH_ROWS = "1000"
+_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _release_memory() -> None:
+    """Give freed memory back to the system: Python workers are reused by later stages, and would keep it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, function, schema) -> DataFrame:
-    """``mapInArrow`` with this package importable on the executors."""
-    ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    """``mapInArrow`` with this package importable on the executors, small batches and memory given back at the end."""
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.conf.get(_BATCH_KEY) == "10000":
+        spark.conf.set(_BATCH_KEY, BATCH_ROWS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            _release_memory()
+
+    return df.mapInArrow(run, schema)
 
 
 def doc_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
