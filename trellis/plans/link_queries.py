@@ -12,9 +12,9 @@ from trellis.plans.registry import query, table
 STOP = ["the", "of", "and", "de", "la", "der", "und", "el", "que", "en"]
 
 
-@query("""SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY lower(left(text, 20)), lang ORDER BY least(length(text), 3000) DESC, doc_id) AS k FROM documents) WHERE k = 1""")
+@query("""SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY lower(text), lang ORDER BY least(length(text), 3000) DESC, doc_id) AS k FROM documents) WHERE k = 1""")
 def dedup_keep_best(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "lang", F.lower(F.substring("text", 1, 20)).alias("head"), F.least(F.length("text"), F.lit(3000)).alias("size"))
+    docs = table(spark, d, "documents").select("doc_id", "lang", F.lower("text").alias("head"), F.least(F.length("text"), F.lit(3000)).alias("size"))
     return link.keep_best(docs, ["head", "lang"], [F.desc("size"), F.col("doc_id")]).select("doc_id")
 
 
@@ -30,19 +30,18 @@ def dedup_keep_richest(spark, d):
 
 @query()
 def content_clusters(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", F.concat_ws("|", "lang", "source", F.lower(F.substring("text", 1, 24))).alias("block"), F.lower("text").alias("text"))
+    docs = table(spark, d, "documents").select("doc_id", F.concat_ws("|", "lang", F.regexp_extract("text", r"^([^.\n]*)", 1)).alias("block"), F.lower("text").alias("text"))
     return link.content_clusters(docs, "block", "doc_id", "text").select("doc_id", "cluster")
 
 
-@query("""WITH a AS (SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderkey % 3 <> 0), b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'x' ELSE o_orderpriority END AS o_orderpriority FROM orders WHERE o_orderkey % 4 <> 0)
-    SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN a.o_orderkey IS NULL THEN 'new' WHEN b.o_orderkey IS NULL THEN 'gone' WHEN a.o_orderpriority = b.o_orderpriority THEN 'same' ELSE 'changed' END AS change
-    FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey""")
+@query("""WITH b AS (SELECT l_orderkey, min(l_linestatus) AS status FROM lineitem GROUP BY 1)
+    SELECT coalesce(o_orderkey, l_orderkey) AS o_orderkey, CASE WHEN o_orderkey IS NULL THEN 'new' WHEN l_orderkey IS NULL THEN 'gone' WHEN o_orderstatus = status THEN 'same' ELSE 'changed' END AS change
+    FROM orders FULL JOIN b ON o_orderkey = l_orderkey""")
 def set_diff_plan(spark, d):
-    """Two versions of a table: the fixture takes them from overlapping slices of the orders, which are its whole inputs."""
-    orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
-    old = orders.filter("o_orderkey % 3 <> 0")
-    new = orders.filter("o_orderkey % 4 <> 0").withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 5 == 0, "x").otherwise(F.col("o_orderpriority")))
-    return mutate.diff(old, new, ["o_orderkey"], "o_orderpriority")
+    """Orders as the old version, what the lines say of them as the new one."""
+    old = table(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    new = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min("l_linestatus").alias("status"))
+    return mutate.diff(old, new, ["o_orderkey"], "status")
 
 
 @query("""WITH c AS (SELECT DISTINCT upper(p_name) AS name FROM part WHERE p_size > 25), n AS (SELECT DISTINCT p_name AS name FROM part WHERE p_size <= 40 AND p_type <> 'SMALL')
@@ -114,9 +113,9 @@ def related_links_topk(spark, d):
 
 
 def _bm25(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", features(tokens(F.col("text"), STOP, 80)).alias("f"))
+    docs = table(spark, d, "documents").select("doc_id", features(tokens(F.col("text"), STOP)).alias("f"))
     index = rank.bm25_index(docs, "doc_id", {"text": (F.col("f"), 2.0)})
-    items = table(spark, d, "benchmark").select("item_id", features(tokens(F.col("text"), STOP, 40)).alias("f"))
+    items = table(spark, d, "benchmark").select("item_id", features(tokens(F.col("text"), STOP)).alias("f"))
     plan = rank.bm25_plan(items, index, "item_id", {"text": (F.col("f"), 5.0, 16)})
     return rank.bm25_top(plan, index, "item_id", "doc_id", 5)
 
@@ -124,12 +123,12 @@ def _bm25(spark, d):
 _STOP_SQL = "[" + ", ".join(f"'{w}'" for w in STOP) + "]"
 _WORDS = "list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '' AND NOT list_contains(" + _STOP_SQL + ", x))"
 _FEATURES = "list_concat(list_transform(w, lambda x: 'u:' || x), list_transform(range(1, len(w)), lambda i: 'b:' || w[i] || ' ' || w[i + 1]))"
-_BM25 = f"""WITH dw AS (SELECT doc_id, list_slice({_WORDS}, 1, 80) AS w FROM documents), dr AS (SELECT doc_id, unnest({_FEATURES}) AS feature FROM dw),
+_BM25 = f"""WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents), dr AS (SELECT doc_id, unnest({_FEATURES}) AS feature FROM dw),
     tf AS (SELECT doc_id, feature, sum(2.0 * CASE WHEN feature LIKE 'b:%' THEN 1.35 ELSE 1.0 END)::DOUBLE AS tf FROM dr GROUP BY ALL),
     ln AS (SELECT d.doc_id, coalesce(l.length, 1.0) AS length FROM documents d LEFT JOIN (SELECT doc_id, sum(tf) AS length FROM tf GROUP BY 1) l USING (doc_id)),
     st AS (SELECT avg(length) AS mean, count(*) AS n FROM ln), df AS (SELECT feature, count(*) AS df FROM tf GROUP BY 1),
     ix AS (SELECT doc_id, feature, df, ln(1.0 + (n - df + 0.5) / (df + 0.5)) AS idf, ln(1.0 + (n - df + 0.5) / (df + 0.5)) * tf * (1.35 + 1.0) / (tf + 1.35 * (1.0 - 0.72 + 0.72 * length / mean)) AS impact FROM tf JOIN df USING (feature) JOIN ln USING (doc_id) CROSS JOIN st),
-    qw AS (SELECT item_id, list_slice({_WORDS}, 1, 40) AS w FROM benchmark), qr AS (SELECT item_id, unnest({_FEATURES}) AS feature FROM qw), qc AS (SELECT item_id, feature, count(*) AS qf FROM qr GROUP BY ALL),
+    qw AS (SELECT item_id, {_WORDS} AS w FROM benchmark), qr AS (SELECT item_id, unnest({_FEATURES}) AS feature FROM qw), qc AS (SELECT item_id, feature, count(*) AS qf FROM qr GROUP BY ALL),
     kn AS (SELECT DISTINCT feature, df, idf FROM ix WHERE df <= 2500 AND idf >= 0.25),
     rk AS (SELECT item_id, feature, 5.0 * (1.0 + ln(qf)) * CASE WHEN feature LIKE 'b:%' THEN 1.25 ELSE 1.0 END AS multiplier, idf FROM qc JOIN kn USING (feature)),
     pl AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY multiplier * idf DESC, feature) AS nth FROM rk) WHERE nth <= 16),
@@ -167,10 +166,10 @@ def exact_consensus_tier(spark, d):
     return joined.select("doc_id", tier.alias("tier"))
 
 
-@query("""WITH c AS (SELECT lang, left(lower(text), 3) AS v, count(*) AS n FROM documents GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, length(v) DESC, v) AS k FROM c)
+@query("""WITH c AS (SELECT lang, source AS v, count(*) AS n FROM documents GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, length(v) DESC, v) AS k FROM c)
     SELECT lang, v AS label FROM r WHERE k = 1""")
 def canonical_label(spark, d):
-    return link.canonical_label(table(spark, d, "documents").select("lang", F.substring(F.lower("text"), 1, 3).alias("v")), ["lang"], "v")
+    return link.canonical_label(table(spark, d, "documents").select("lang", F.col("source").alias("v")), ["lang"], "v")
 
 
 @query("""WITH f AS (SELECT DISTINCT s_suppkey AS row_id, p_type || '/' || p_size % 5 AS term FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey WHERE l_quantity = 50),

@@ -17,8 +17,8 @@ def text_normalize(spark, d):
     return table(spark, d, "documents").select("doc_id", strip_lower_ws(F.col("text")).alias("k"))
 
 
-@query(r"""SELECT event_id, CASE WHEN event_id % 4 = 1 THEN NULL WHEN event_id % 4 = 0 AND value > 100 THEN NULL ELSE a END AS least, CASE WHEN event_id % 4 = 2 THEN NULL WHEN event_id % 4 = 0 AND value > 100 THEN NULL WHEN event_id % 4 = 3 THEN a + 5 ELSE a END AS most
-    FROM (SELECT event_id, value, (event_id % 90)::DOUBLE AS a FROM events)""".replace("AND value > 100 ", "AND FALSE "))
+@query("""SELECT event_id, CASE WHEN event_id % 4 = 1 THEN NULL ELSE a END AS least, CASE event_id % 4 WHEN 2 THEN NULL WHEN 3 THEN a + 5 ELSE a END AS most
+    FROM (SELECT event_id, (event_id % 90)::DOUBLE AS a FROM events)""")
 def rate_parse(spark, d):
     n = (F.col("event_id") % 90).cast("int").cast("string")
     more = ((F.col("event_id") % 90) + 5).cast("int").cast("string")
@@ -35,9 +35,9 @@ def paren_split(spark, d):
 
 
 @query(r"""SELECT bucket, count(*) AS n FROM (SELECT CASE WHEN contains(c, ' - ') THEN 'dash' WHEN contains(c, '/') THEN 'slash' WHEN regexp_matches(c, '[()]') THEN 'paren' WHEN regexp_matches(c, '[0-9]') THEN 'digit' WHEN length(c) > 40 THEN 'long' ELSE 'clean' END AS bucket
-    FROM (SELECT left(text, 60) AS c FROM documents)) GROUP BY bucket""")
+    FROM (SELECT text AS c FROM documents)) GROUP BY bucket""")
 def name_bucket(spark, d):
-    return table(spark, d, "documents").select(T.name_bucket(F.substring("text", 1, 60)).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
+    return table(spark, d, "documents").select(T.name_bucket(F.col("text")).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
 
 
 @query()
