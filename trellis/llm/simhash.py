@@ -409,7 +409,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counts = spread.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
     met = materialize(spread.join(counts, ["band", "key"]), "bands")
     wanted = met.select("id", "fp").distinct()
-    sets = map_arrow(texts.join(wanted, texts["doc_id"] == wanted["id"]).select("id", "text", "fp"), _sets, "id long, fp long, shingles binary")
+    sets = map_arrow(texts.join(wanted.hint("merge"), texts["doc_id"] == wanted["id"]).select("id", "text", "fp"), _sets, "id long, fp long, shingles binary")
     # A repeated id brings each of its texts; only the one that the class stands for has that fingerprint.
     sets = sets.dropDuplicates(["id", "fp"]) if _has_repeats(table) else sets
     tiles = F.ceil(F.col("n") / TILE).cast("int")
@@ -436,7 +436,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     groups = materialize(near_duplicates(docs, id_col, text_col), "groups")
     dropped = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("__dropped")).distinct()
-    kept = docs.join(dropped, docs[id_col].cast("long") == dropped["__dropped"], "left_anti")
+    # Texts are dealt by id whatever the size of the other side: a small one is no reason for another plan.
+    kept = docs.join(dropped.hint("merge"), docs[id_col].cast("long") == dropped["__dropped"], "left_anti")
     if _has_repeats(groups):
         first = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col), text_col)
         named = kept.filter(F.col(id_col).isNotNull()).withColumn("__nth", F.row_number().over(first)).filter("__nth = 1").drop("__nth")
