@@ -270,7 +270,8 @@ def repeated_spans(keyed: DataFrame, texts: DataFrame) -> DataFrame:
     fetched = texts.join(wanted, ["key", "mark"])
     if _repeats(shared):  # rows with one id and one text are the same text: any of them serves
         fetched = fetched.dropDuplicates(["key", "mark"])
-    runs = map_arrow(fetched.select("text", "wants"), _runs(parts), "part int, run binary").repartition(parts, "part")
+    # "known" is not needed here, but leaves the exchange of the texts the same as the last join's, and so reused.
+    runs = map_arrow(fetched.select("text", "wants", "known"), _runs(parts), "part int, run binary").repartition(parts, "part")
     some = map_arrow(runs, _merge, "gram long, context long, lo int, hi int")
     single = classes.filter("mixed and n = 1").select("gram", "context", "r.key", "r.mark", "r.pos")
     span = F.struct((F.col("pos") - F.col("hi")).alias("lo"), (F.col("pos") - F.col("lo") + LENGTH).alias("hi")).alias("span")
