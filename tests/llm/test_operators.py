@@ -302,9 +302,15 @@ def plain_cut(raws, length):
     return cover
 
 
-def test_suffixes(spark, docs, empty):
+@pytest.mark.parametrize("hot", [suffixes.HOT_CONTEXTS, 1, 4])
+def test_suffixes(spark, docs, empty, monkeypatch, hot):
+    monkeypatch.setattr(suffixes, "HOT_CONTEXTS", hot)
     base = prose(50, 300)
+    line = prose(52, 60)[:250]
     rows = fixture_rows() + [(20, base), (21, "x" + base[100:700] + "y" + prose(51, 100)), (22, base[:650] + "Z" + base[651:]), (23, base[:650] + "Q" + base[651:1200]), (24, "ab" * 900)]
+    # A line of 250 bytes in many texts: some agree with another on the 400 bytes around it, some on 399 only.
+    rows += [(30 + k, prose(60 + k, 40) + line + prose(70 + k, 60)) for k in range(6)]
+    rows += [(40 + k, "p" * (k + 1) + base[900 : 1000 + k] + line + base[1200 : 1299 + k % 2] + "q" * k) for k in range(4)]
     table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit(1))
     raws = [(t or "").encode() for _, t in rows]
     want = []

@@ -14,7 +14,9 @@ windows elect the same place, and only suffixes that start at elected places (ab
    a common prefix of LENGTH - o, another class has the same o bytes before it.
 
 Runs are dealt by the gram's hash, not by key ranges: only suffixes of one gram are ever compared, so no range is
-hot because a prefix is frequent.  Copies meet as classes with counts, not as rows.
+hot because a prefix is frequent.  Copies meet as classes with counts, not as rows.  A gram with over HOT_CONTEXTS
+different contexts (a line that stands in very many texts) doesn't meet in one task: its windows are counted by
+hash instead, first by the bytes that a range of windows has in common, then one by one where those repeat.
 """
 
 from __future__ import annotations
@@ -36,6 +38,10 @@ GRAM = 96
 REACH = LENGTH - GRAM  # a window's elected place is at most so many bytes after its start
 RUN_ENTRIES = 20_000
 BLOCK_ENTRIES = 4096
+HOT_CONTEXTS = 20_000
+TASK_ENTRIES = 100_000
+#: Offsets of windows before their place, in ranges (first, last): all windows of a range share LENGTH - (last - first) bytes.
+RANGES = [(a, min(a + 38, REACH)) for a in range(0, REACH + 1, 39)]
 _LOWEST = -(1 << 63)
 
 
@@ -250,6 +256,69 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(block)
 
 
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes around the wanted places, and a hash of what the windows of each range have in common (null: no such window)."""
+    digest = xxhash.xxh3_64_intdigest
+    for batch in batches:
+        for text, wants in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            raw = text.encode()
+            for first in range(0, len(wants), BLOCK_ENTRIES):
+                gram, context, around, before, keys = [], [], [], [], []
+                for w in wants[first : first + BLOCK_ENTRIES]:
+                    p, x, y = w["pos"], w["before"], w["after"]
+                    gram.append(w["gram"])
+                    context.append(w["context"])
+                    around.append(raw[p - x : p + y])
+                    before.append(x)
+                    keys.append([digest(raw[p - a : p + LENGTH - b], a) - (1 << 63) if x >= a and y >= LENGTH - b else None for a, b in RANGES])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(gram, pa.int64()), pa.array(context, pa.int64()), pa.array(around, pa.binary()), pa.array(before, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
+                    names=["gram", "context", "around", "before", "keys"],
+                )
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, context, o, window): the hashes of the windows of the given ranges."""
+    digest = xxhash.xxh3_64_intdigest
+    for batch in batches:
+        gram, context, at, window = [], [], [], []
+        for g, c, around, before, ranges in zip(*[column.to_pylist() for column in batch.columns], strict=True):
+            for r in ranges:
+                for o in range(RANGES[r][0], RANGES[r][1] + 1):
+                    begin = before - o
+                    if begin >= 0 and begin + LENGTH <= len(around):
+                        gram.append(g)
+                        context.append(c)
+                        at.append(o)
+                        window.append(digest(around[begin : begin + LENGTH], o) - (1 << 63))
+        yield pa.RecordBatch.from_arrays([pa.array(gram, pa.int64()), pa.array(context, pa.int64()), pa.array(at, pa.int32()), pa.array(window, pa.int64())], names=["gram", "context", "o", "window"])
+
+
+def _counted_windows(fetched: DataFrame) -> DataFrame:
+    """(gram, context, lo, hi) as ``_merge`` gives them, for grams of any number of contexts.
+
+    Windows around one place overlap, so the first and the last repeated one cover all that those between cover.
+    """
+    around = materialize(map_arrow(fetched, _contexts, "gram long, context long, around binary, before int, keys array<long>"), "hot-contexts")
+    ranges = materialize(around.select("gram", "context", F.posexplode("keys").alias("r", "key")).filter("key is not null"), "hot-ranges")
+    repeated = materialize(ranges.groupBy("gram", "r", "key").count().filter("count > 1").drop("count"), "hot-range-keys")
+    # A window of a range has the bytes common to the range: without that key the range has none around this place.
+    met = ranges.join(repeated, ["gram", "r", "key"]).groupBy("gram", "context").agg(F.sort_array(F.collect_set("r")).alias("met"))
+    looked = around.drop("keys").join(met, ["gram", "context"]).select("gram", "context", "around", "before", "met")
+    windows = materialize(map_arrow(looked, _windows, "gram long, context long, o int, window long"), "hot-windows")
+    twice = materialize(windows.groupBy("gram", "o", "window").count().filter("count > 1").drop("count"), "hot-window-keys")
+    return windows.join(twice, ["gram", "o", "window"]).groupBy("gram", "context").agg(F.min("o").alias("lo"), F.max("o").alias("hi"))
+
+
+def _fetch(texts: DataFrame, classes: DataFrame, repeats: bool) -> DataFrame:
+    """The texts that stand for the classes, each with the places wanted from it."""
+    want = F.struct(F.col("r.pos").alias("pos"), F.col("r.before").alias("before"), F.col("r.after").alias("after"), "gram", "context")
+    wanted = classes.groupBy(F.col("r.key").alias("key"), F.col("r.mark").alias("mark")).agg(F.collect_list(want).alias("wants"))
+    fetched = texts.join(wanted, ["key", "mark"])
+    # Rows with one id and one text are the same text: any of them serves.
+    return fetched.dropDuplicates(["key", "mark"]) if repeats else fetched
+
+
 def repeated_spans(keyed: DataFrame, texts: DataFrame) -> DataFrame:
     """(key, mark, spans): byte spans [lo, hi) of repeated windows, unmerged, of each of the ``_keyed`` texts that has any.
 
@@ -265,14 +334,18 @@ def repeated_spans(keyed: DataFrame, texts: DataFrame) -> DataFrame:
     classes = shared.groupBy("gram", "context", "mixed").agg(F.count("*").alias("n"), F.min(F.struct("key", "mark", "pos", "before", "after")).alias("r"))
     classes = materialize(classes, "contexts")
     whole = classes.filter("n > 1").select("gram", "context", F.greatest(F.lit(0), LENGTH - F.col("r.after")).alias("lo"), F.col("r.before").alias("hi")).filter("lo <= hi")
-    want = F.struct(F.col("r.pos").alias("pos"), F.col("r.before").alias("before"), F.col("r.after").alias("after"), "gram", "context")
-    wanted = classes.filter("mixed").groupBy(F.col("r.key").alias("key"), F.col("r.mark").alias("mark")).agg(F.collect_list(want).alias("wants"))
-    fetched = texts.join(wanted, ["key", "mark"])
-    if _repeats(shared):  # rows with one id and one text are the same text: any of them serves
-        fetched = fetched.dropDuplicates(["key", "mark"])
+    mixed = classes.filter("mixed")
+    hot = materialize(mixed.groupBy("gram").count().filter(F.col("count") > HOT_CONTEXTS).select("gram"), "hot-grams")
+    any_hot = not hot.isEmpty()
+    cool = mixed.join(hot, "gram", "left_anti") if any_hot else mixed
+    repeats = _repeats(shared)
     # "known" is not needed here, but leaves the exchange of the texts the same as the last join's, and so reused.
-    runs = map_arrow(fetched.select("text", "wants", "known"), _runs(parts), "part int, run binary").repartition(parts, "part")
+    fetched = _fetch(texts, cool, repeats)
+    deal = max(parts, -(-cool.count() // TASK_ENTRIES))
+    runs = map_arrow(fetched.select("text", "wants", "known"), _runs(deal), "part int, run binary").repartition(deal, "part")
     some = map_arrow(runs, _merge, "gram long, context long, lo int, hi int")
+    if any_hot:
+        some = some.unionByName(_counted_windows(_fetch(texts, mixed.join(hot, "gram", "left_semi"), repeats).select("text", "wants")))
     single = classes.filter("mixed and n = 1").select("gram", "context", "r.key", "r.mark", "r.pos")
     span = F.struct((F.col("pos") - F.col("hi")).alias("lo"), (F.col("pos") - F.col("lo") + LENGTH).alias("hi")).alias("span")
     spans = shared.join(whole, ["gram", "context"]).select("key", "mark", span).unionByName(some.join(single, ["gram", "context"]).select("key", "mark", span))
