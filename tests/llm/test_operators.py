@@ -135,10 +135,17 @@ def test_hot_buckets(spark, monkeypatch):
     assert all(r["component_id"] == forest.find(r["doc_id"]) for r in got)
 
 
-def test_near_dedup(spark, docs, empty, monkeypatch):
-    monkeypatch.setattr(simhash, "TILE", 2)
+@pytest.mark.parametrize("tile", [simhash.TILE, 2, 3])
+def test_near_dedup(spark, docs, empty, monkeypatch, tile):
+    monkeypatch.setattr(simhash, "TILE", tile)
+    base = prose(90, 80).split(" ")
+    # A group of copies that differ, and a chain that leaves it by steps of three words.
+    copies = [(100 + k, " ".join(base[:k] + ["w" + str(k)] + base[k + 1 :])) for k in range(2, 40, 3)]
+    drift = [(200 + k, " ".join(["v" + str(j) for j in range(k)] + base[k:])) for k in range(0, 48, 3)]
+    more = spark.createDataFrame(copies + drift, "doc_id long, text string")
+    docs = docs.unionByName(more, allowMissingColumns=True)
     kept = sorted(r["doc_id"] for r in simhash.near_dedup(docs).collect() if r["doc_id"] is not None)
-    texts, forest = {i: t for i, t in fixture_rows() if i is not None}, components.Forest()
+    texts, forest = {i: t for i, t in fixture_rows() + copies + drift if i is not None}, components.Forest()
     sets = {}
     for i, t in texts.items():
         w = (t or "").translate({c: c + 32 for c in range(65, 91)}).split()

@@ -53,13 +53,17 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _stars(links: DataFrame, large: bool) -> DataFrame:
-    """One step on links (u > v): hang the larger neighbours (large) or the smaller ones (small) on the smallest."""
+    """One step on links (u > v): hang the larger neighbours (large) or the smaller ones (small) on the smallest.
+
+    The least neighbours are a written table like the links, so that adaptive execution can split a hub's links.
+    """
     if large:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = materialize(least, "least")
         out = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        least = links.groupBy("u").agg(F.min("v").alias("m"))
+        least = materialize(links.groupBy("u").agg(F.min("v").alias("m")), "least")
         joined = links.join(least, "u")
         out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
     return out.filter("u <> v").distinct()
@@ -78,7 +82,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         if tuple(after) == state or not after["n"]:
             break
         state = tuple(after)
-        links = materialize(_stars(_stars(links, True), False), "links")
+        links = materialize(_stars(materialize(_stars(links, True), "links"), False), "links")
     else:
         raise RuntimeError("connected components did not settle")
     return links.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -392,6 +392,45 @@ def _link_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out
 
 
+def _first_tiles(met: DataFrame) -> DataFrame:
+    """(band, key, ti, tj, id): each member in one tile of its block, and the block's smallest in all.
+
+    The smallest connects the tiles of a group of copies, and so do the bands, which deal one group differently.
+    """
+    tiles = F.ceil(F.col("n") / TILE).cast("int")
+    own = F.pmod(F.xxhash64("id", "band"), tiles).cast("int")
+    at = F.when((F.col("id") == F.col("anchor")) & (tiles > 1), F.sequence(F.lit(0), tiles - 1)).otherwise(F.array(own))
+    return met.select("band", "key", "id", F.explode(at).alias("ti")).select("band", "key", "ti", F.lit(-1).alias("tj"), "id")
+
+
+def _second_tiles(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """(band, key, ti, tj, id): tiles that hold all pairs of a block but those within its largest component.
+
+    Pairs within one component can't change the result.  A block that is one component needs no tile; in others the
+    members outside the largest (parts 0 to a - 1) meet each other and the members inside it (parts a to a + b - 1).
+    A large group of copies costs its size once for each TILE members outside it, not its square.
+    """
+    comp = F.coalesce("root", "id").alias("comp")
+    placed = materialize(met.join(roots, met["id"] == roots["node"], "left").select("band", "key", "n", "id", comp), "placed")
+    sizes = placed.groupBy("band", "key", "comp").agg(F.count("*").alias("c"), F.first("n").alias("n"))
+    largest = sizes.groupBy("band", "key").agg(F.max(F.struct("c", "comp")).alias("top"), F.first("n").alias("all")).filter("top.c < all")
+    largest = materialize(largest.select("band", "key", F.col("top.comp").alias("major"), F.col("top.c").alias("inside"), (F.col("all") - F.col("top.c")).alias("outside")), "majors")
+    minor = F.col("comp") != F.col("major")
+    a, b = F.ceil(F.col("outside") / TILE).cast("int"), F.ceil(F.col("inside") / TILE).cast("int")
+    part = F.when(minor, F.pmod(F.xxhash64("id"), a)).otherwise(a + F.pmod(F.xxhash64("id"), b)).cast("int")
+    others = F.when(minor, F.sequence(F.lit(0), a + b - 1)).otherwise(F.sequence(F.lit(0), a - 1))
+    dealt = placed.join(largest, ["band", "key"]).select("band", "key", "id", part.alias("part"), F.explode(others).alias("other"))
+    return dealt.select("band", "key", F.least("part", "other").alias("ti"), F.greatest("part", "other").alias("tj"), "id")
+
+
+def _tile_links(tiled: DataFrame, sets: DataFrame) -> DataFrame:
+    """Verified links (u, v) within the tiles."""
+    parts = int(tiled.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    dealt = tiled.join(sets, "id").select("band", "key", "ti", "tj", "id", "fp", "shingles")
+    dealt = dealt.repartition(parts, "band", "key", "ti", "tj").sortWithinPartitions("band", "key", "ti", "tj")
+    return map_arrow(dealt, _link_tiles, "u long, v long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, component_id) of documents linked by a five-word shingle similarity of 0.8 or more.
 
@@ -399,27 +438,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     band keys (a pair of similarity 0.8 misses all ten with a chance below 0.001); a block's fingerprints are
     compared bit-sliced within a wide radius, and what is left is verified on the exact shingle sets.  Pairs that
     are connected already are not verified again, so a group of copies costs about one verification a copy.
-    A block over TILE members is dealt into tiles of two parts each, which together hold all its pairs.
+    A block over TILE members is dealt into tiles twice: first each member into one tile, which connects the copies,
+    then only those outside the block's largest component against all (see ``_second_tiles``).
     """
     spark = docs.sparkSession
     texts = doc_texts(docs, id_col, text_col)
     table = materialize(map_arrow(texts.filter("doc_id is not null"), _describe, "doc_id long, same binary, n long, fp long, keys array<long>"), "described")
     classes = table.groupBy("same").agg(F.min(F.struct("doc_id", "n", "fp", "keys")).alias("r")).select("same", F.col("r.doc_id").alias("id"), F.col("r.n").alias("n"), F.col("r.fp").alias("fp"), F.col("r.keys").alias("keys"))
     spread = classes.filter("n > 0").select("id", "fp", F.posexplode("keys").alias("band", "key"))
-    counts = spread.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
+    counts = spread.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("id").alias("anchor")).filter("n > 1")
     met = materialize(spread.join(counts, ["band", "key"]), "bands")
     wanted = met.select("id", "fp").distinct()
     sets = map_arrow(texts.join(wanted.hint("merge"), texts["doc_id"] == wanted["id"]).select("id", "text", "fp"), _sets, "id long, fp long, shingles binary")
     # A repeated id brings each of its texts; only the one that the class stands for has that fingerprint.
     sets = sets.dropDuplicates(["id", "fp"]) if _has_repeats(table) else sets
-    tiles = F.ceil(F.col("n") / TILE).cast("int")
-    part = F.pmod(F.xxhash64("id"), tiles).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), tiles - 1), lambda k: F.struct(F.least(part, k).alias("ti"), F.greatest(part, k).alias("tj")))
-    tiled = met.withColumn("tile", F.explode(pairs)).select("band", "key", F.col("tile.ti").alias("ti"), F.col("tile.tj").alias("tj"), "id")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    dealt = tiled.join(sets, "id").select("band", "key", "ti", "tj", "id", "fp", "shingles")
-    dealt = dealt.repartition(parts, "band", "key", "ti", "tj").sortWithinPartitions("band", "key", "ti", "tj")
-    roots = connected_components(map_arrow(dealt, _link_tiles, "u long, v long"))
+    hot = not met.filter(F.col("n") > TILE).isEmpty()
+    if hot:
+        sets = materialize(sets, "sets")
+    links = _tile_links(_first_tiles(met), sets)
+    if hot:
+        links = materialize(links, "links")
+        links = links.unionByName(_tile_links(_second_tiles(met.filter(F.col("n") > TILE), connected_components(links)), sets))
+    roots = connected_components(links)
     merged = classes.join(roots, classes["id"] == roots["node"], "left").select("same", F.coalesce("root", "id").alias("component_id"))
     return table.join(materialize(merged, "classes"), "same").select("doc_id", "component_id")
 
