@@ -33,4 +33,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from trellis.plans import graph_queries, link_queries, text_queries  # noqa: E402, F401
+from trellis.plans import graph_queries, link_queries, review_queries, text_queries  # noqa: E402, F401
