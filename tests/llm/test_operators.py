@@ -159,6 +159,41 @@ def test_near_dedup(spark, docs, empty, monkeypatch, tile):
     assert simhash.near_dedup(docs).columns == docs.columns and simhash.near_dedup(empty).count() == 0
 
 
+def test_near_dedup_repeated_line(spark):
+    """The same shingle set is one group, however often one of the texts repeats a line."""
+    rows = []
+    for k in range(20):
+        words = [f"w{k}x{j}" for j in range(1000)]
+        line = words[500:512]
+        # The line ends in front of its own start both times: more repeats bring no new shingle.
+        rows += [(2 * k, " ".join(words + line * 2)), (2 * k + 1, " ".join(words + line * 50))]
+    assert sorted(r["doc_id"] for r in simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == list(range(0, 40, 2))
+
+
+def test_similar_sets_of_far_fingerprints():
+    """The sets decide every pair of a block, whatever the fingerprints say."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    for n in (2, 3, simhash.FEW, 60):
+        sets = []
+        for k in range(n):
+            base = sets[int(rng.integers(0, k))] if k % 3 else rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+            sets.append(np.unique(np.concatenate([base[int(rng.integers(0, 8)) :], rng.integers(0, 1 << 63, int(rng.integers(0, 8)), dtype=np.uint64)])))
+        fps = rng.integers(-(1 << 63), 1 << 63, n)
+        zero = pa.array(np.zeros(n, np.int64))
+        batch = pa.RecordBatch.from_arrays([zero, zero, zero, zero, pa.array(np.arange(n)), pa.array(fps), pa.array([x.tobytes() for x in sets])], names=list("bktjifs"))
+        got, want = components.Forest(), components.Forest()
+        for out in simhash._link_tiles(iter([batch])):
+            for u, v in zip(out.column(0).to_pylist(), out.column(1).to_pylist()):
+                got.union(u, v)
+        for i in range(n):
+            for j in range(i):
+                if len(set(sets[i].tolist()) & set(sets[j].tolist())) / len(set(sets[i].tolist()) | set(sets[j].tolist())) >= 0.8:
+                    want.union(i, j)
+        assert [got.find(i) for i in range(n)] == [want.find(i) for i in range(n)]
+
+
 def test_components(spark):
     rng = random.Random(3)
     links = [(i, i + 1) for i in range(0, 60)] + [(rng.randint(100, 160), rng.randint(100, 160)) for _ in range(50)] + [(200, i) for i in range(201, 260)]

@@ -160,9 +160,9 @@ class _Labels:
         return x != y
 
 
-def _spanning(pairs: Iterator[tuple[np.ndarray, np.ndarray]], n: int, holds: Callable[[int, int], bool] | None = None) -> tuple[list[int], list[int]]:
-    """A spanning forest of the pairs that hold; pairs of rows already connected are not looked at."""
-    labels, left, right = _Labels(n), [], []
+def _spanning(pairs: Iterator[tuple[np.ndarray, np.ndarray]], n: int, holds: Callable[[int, int], bool] | None = None, labels: _Labels | None = None) -> tuple[list[int], list[int]]:
+    """A spanning forest of the pairs that hold; pairs of rows already connected (in ``labels``) are not looked at."""
+    labels, left, right = labels or _Labels(n), [], []
     for a, b in pairs:
         root = labels.flat()
         for k in np.flatnonzero(root[a] != root[b]):
@@ -308,6 +308,7 @@ SIMILARITY = 0.8
 WIDE_RADIUS = 20
 BANDS, BAND_ROWS = 10, 3
 TILE = 8192
+FEW = 16
 _ODD = [(0x9E3779B97F4A7C15 * (2 * k + 1)) & ((1 << 64) - 1) | 1 for k in range(BANDS * BAND_ROWS)]
 
 
@@ -338,8 +339,11 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             same = [xxhash.xxh3_128_digest(raw[8 * x : 8 * y]) for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
             keys = band_keys(hashes, bounds)
             flat = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, BANDS, dtype=np.int32), pa.array(keys.ravel().view(np.int64)))
+            # The fingerprint is of the shingle set, as the similarity is: a line that is repeated counts once.
+            sets = [np.unique(hashes[x:y]) for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
+            fps = majority_bits(np.concatenate([hashes[:0], *sets]), np.cumsum([0] + [len(x) for x in sets]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a), pa.array(same, pa.binary()), pa.array(np.diff(bounds)), pa.array(majority_bits(hashes, bounds).view(np.int64)), flat],
+                [batch.column(0).slice(a, b - a), pa.array(same, pa.binary()), pa.array(np.diff(bounds)), pa.array(fps.view(np.int64)), flat],
                 names=["doc_id", "same", "n", "fp", "keys"],
             )
 
@@ -361,6 +365,36 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
+def all_pairs(n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for shift in range(1, n):
+        yield np.arange(n - shift), np.arange(shift, n)
+
+
+def similar_pairs(sets: list[np.ndarray], labels: _Labels) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of similar sets, but for those within the largest component: shared members are counted, nothing is left out."""
+    root = labels.flat()
+    outside = np.flatnonzero(root != np.bincount(root).argmax())
+    if not len(outside):
+        return
+    size = np.array([len(x) for x in sets])
+    row = np.repeat(np.arange(len(sets)), size)
+    _, code, holders = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rows = row[np.argsort(code, kind="stable")]
+    ends, first = np.cumsum(holders), np.cumsum(size) - size
+    for x in outside.tolist():
+        own = code[first[x] : first[x] + size[x]]
+        own = own[holders[own] > 1]
+        many = holders[own]
+        at = np.repeat(ends[own] - np.cumsum(many), many) + np.arange(many.sum())
+        both = np.bincount(rows[at], minlength=len(sets))
+        union = size[x] + size - both
+        alike = both >= SIMILARITY * union
+        alike[x] = False
+        if alike.any():
+            others = np.flatnonzero(alike)
+            yield np.full(len(others), x), others
+
+
 def _link_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Verified links within each tile of the sorted partition: (band, key, ti, tj, id, fp, shingles) rows."""
 
@@ -375,7 +409,14 @@ def _link_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             small, large = sorted((len(a), len(b)))
             return small >= SIMILARITY * large and jaccard(a, b) >= SIMILARITY
 
-        left, right = _spanning(close_pairs(fp, np.zeros(len(fp), np.int64), WIDE_RADIUS), len(fp), holds)
+        labels = _Labels(len(fp))
+        if len(fp) <= FEW:
+            left, right = _spanning(all_pairs(len(fp)), len(fp), holds, labels)
+        else:
+            # Close fingerprints connect the copies at little cost; what they don't show, the sets decide.
+            left, right = _spanning(close_pairs(fp, np.zeros(len(fp), np.int64), WIDE_RADIUS), len(fp), holds, labels)
+            more = _spanning(similar_pairs(shingles, labels), len(fp), None, labels)
+            left, right = left + more[0], right + more[1]
         return pa.RecordBatch.from_arrays([pa.array(node[left]), pa.array(node[right])], names=["u", "v"]) if left else None
 
     at, ids, fps, sets = None, [], [], []
@@ -435,9 +476,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, component_id) of documents linked by a five-word shingle similarity of 0.8 or more.
 
     Equal word sequences are one class from the start.  Class representatives meet in blocks of equal min-hash
-    band keys (a pair of similarity 0.8 misses all ten with a chance below 0.001); a block's fingerprints are
-    compared bit-sliced within a wide radius, and what is left is verified on the exact shingle sets.  Pairs that
-    are connected already are not verified again, so a group of copies costs about one verification a copy.
+    band keys (a pair of similarity 0.8 misses all ten with a chance below 0.001); the exact shingle sets decide all
+    pairs of a block.  In blocks over FEW members, fingerprints of the sets are compared bit-sliced first, and pairs
+    within a wide radius are verified: that connects most copies.  The members outside the largest component then
+    meet all others by counting shared shingles.  Pairs that are connected already are not verified again, so a
+    group of copies costs about one verification a copy.
     A block over TILE members is dealt into tiles twice: first each member into one tile, which connects the copies,
     then only those outside the block's largest component against all (see ``_second_tiles``).
     """
