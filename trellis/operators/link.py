@@ -56,6 +56,29 @@ def bridge(left: DataFrame, right: DataFrame, key: str, cap: int) -> DataFrame:
     return left.join(fan, key).join(right, key).drop("__fan")
 
 
+def name_bridge(left: DataFrame, right: DataFrame, left_key: str, right_key: str, cap: int, least: int = 4, deny: list[str] | None = None) -> DataFrame:
+    """(left_key, right_key, method) between the distinct names of both sides: exact links, and substring links in either direction.
+
+    Exact links always stay.  Substring links need ``least`` characters on both sides; a left name with more than
+    ``cap`` of them, or on the ``deny`` list, has none.  Candidates share a name's first ``least`` characters.
+    """
+    a = left.select(F.col(left_key).alias("a")).filter("a <> ''").distinct()
+    b = right.select(F.col(right_key).alias("b")).filter("b <> ''").distinct()
+    exact = a.join(b, F.col("a") == F.col("b")).select("a", "b", F.lit("exact").alias("method"))
+    long_a = a.filter(F.length("a") >= least)
+    if deny:
+        long_a = long_a.filter(~F.col("a").isin(deny))
+    long_b = b.filter(F.length("b") >= least)
+    grams = lambda c: F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - least + 1), lambda i: F.substring(F.col(c), i, F.lit(least))))).alias("gram")
+    head = lambda c: F.substring(c, 1, least).alias("gram")
+    inside = long_a.select("a", grams("a")).join(long_b.select("b", head("b")), "gram").filter(F.col("a").contains(F.col("b")))
+    around = long_a.select("a", head("a")).join(long_b.select("b", grams("b")), "gram").filter(F.col("b").contains(F.col("a")))
+    subs = inside.select("a", "b").unionByName(around.select("a", "b")).filter("a <> b").distinct()
+    few = subs.groupBy("a").agg(F.count("*").alias("__fan")).filter(F.col("__fan") <= cap).select("a")
+    links = exact.unionByName(subs.join(few, "a").select("a", "b", F.lit("substring").alias("method")))
+    return links.select(F.col("a").alias(left_key), F.col("b").alias(right_key), "method")
+
+
 def related(pairs: DataFrame, source: str, target: str, item: str, least: int, k: int) -> DataFrame:
     """Best k targets of each source by distinct shared items (``least`` or more), ties by target."""
     shared = pairs.groupBy(source, target).agg(F.count_distinct(item).alias("shared")).filter(F.col("shared") >= least)

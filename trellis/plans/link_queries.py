@@ -97,11 +97,21 @@ def latest_wins(spark, d):
     x AS (SELECT DISTINCT doc_id, unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+')) AS word FROM documents)
     SELECT doc_id, count(*) AS links, count(DISTINCT item_id) AS items FROM x JOIN f USING (word) JOIN w USING (word) GROUP BY doc_id""")
 def bridge_fanout_cap(spark, d):
+    """Not the reference's bridge: exact links are capped, as the SQL has it; ``bridge_exact_substring`` has its rule."""
     words = lambda df, key: df.select(key, F.explode(F.array_distinct(tokens(F.col("text")))).alias("word"))
     out = link.bridge(words(table(spark, d, "documents"), "doc_id"), words(table(spark, d, "benchmark"), "item_id"), "word", 5)
     return out.groupBy("doc_id").agg(F.count("*").alias("links"), F.count_distinct("item_id").alias("items"))
 
 
+@query("""WITH l AS (SELECT DISTINCT unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+')) AS word FROM documents), r AS (SELECT DISTINCT unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+')) AS name FROM benchmark),
+    s AS (SELECT word, name FROM l JOIN r ON word <> name AND length(word) >= 4 AND length(name) >= 4 AND (contains(word, name) OR contains(name, word))), f AS (SELECT word FROM s GROUP BY word HAVING count(*) <= 5)
+    SELECT word, name, 'exact' AS method FROM l JOIN r ON word = name WHERE word <> '' UNION ALL SELECT word, name, 'substring' FROM s JOIN f USING (word)""")
+def bridge_exact_substring(spark, d):
+    """The reference's bridge between the vocabularies of documents and benchmark: exact links uncapped, the cap on substring links alone."""
+    words = lambda df, name: df.select(F.explode(F.array_distinct(tokens(F.col("text")))).alias(name))
+    return link.name_bridge(words(table(spark, d, "documents"), "word"), words(table(spark, d, "benchmark"), "name"), "word", "name", 5)
+
+
 @query("""WITH p AS (SELECT DISTINCT c_nationkey AS source, p_brand AS target, p_name AS item FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey WHERE l_quantity > 45),
     s AS (SELECT source, target, count(*) AS shared FROM p GROUP BY ALL HAVING count(*) >= 2)
     SELECT source, target, shared, rank FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY shared DESC, target) AS rank FROM s) WHERE rank <= 3""")
