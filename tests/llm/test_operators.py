@@ -321,6 +321,21 @@ def test_pii(spark, docs, empty):
     assert sorted(r["text"] for r in whole.collect()) == sorted(t or "" for _, t in fixture_rows()) and pii.surrogate_digest(empty).count() == 0
 
 
+def test_pii_card_of_fifteen_digits(spark):
+    rows = [(1, "card 3782 822463 10005 or 3782-822463-10005, 378282246310005.")]
+    out = pii.replace_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()[0]["text"]
+    cards = ["".join(c for c in part if c.isdigit()) for part in out.replace("card ", "").replace(" or ", ",").split(",")]
+    assert len(set(cards)) == 1 and len(cards[0]) == 15 and cards[0] != "378282246310005"
+
+
+def test_pii_long_names(spark):
+    many = " ".join(["Anna"] * 3000)
+    rows = [(1, "so Mr Juan Carlos Garcia Lopez came"), (2, "so Mr Juan Carlos Garcia Lopez Perez came"), (3, f"so Mrs {many} came")]
+    out = {r["doc_id"]: r["text"] for r in pii.replace_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any(part in text for text in out.values() for part in ("Juan", "Carlos", "Garcia", "Lopez", "Perez"))
+    assert [len(out[k].split(" ")) for k in (1, 2, 3)] == [len(t.split(" ")) for _, t in rows] and " Anna Anna" not in out[3]
+
+
 def test_pii_distinct(spark):
     """All 2,000 numbers of one short type, and mentions that collide at first, keep distinct surrogates."""
     rows = [(k, f"x {k % 256}.{k // 256}.7.9 and u{k % 50}@b.co") for k in range(2000)]

@@ -54,9 +54,9 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IPV4 = rf"(?<![0-9A-Za-z.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9A-Za-z]|\.[0-9])"
 SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 PHONE = r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9A-Za-z])"
-CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}+|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7})(?![0-9A-Za-z])"
+CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}+|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7})(?![0-9A-Za-z])"
 IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}+|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![0-9A-Za-z])"
-NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{FORMS})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+){{0,2}}"
+NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{FORMS})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)*+"
 #: In this order at each place of the text.
 ENTITY = "|".join([EMAIL, SECRET, IPV4, SSN, PHONE, CARD, IBAN, NAME])
 #: What every entity has somewhere; texts without it are not searched.
@@ -182,7 +182,9 @@ def surrogate_form(kind: Column, form: Column, key: str, attempt: Column) -> Col
     first = F.coalesce(*[F.when((script == k.split(" ")[0]) & (gender == k.split(" ")[1]), _pick(v, draw("first"))) for k, v in FIRST_NAMES.items()])
     last = lambda nth: F.initcap(F.coalesce(*[F.when(script == s, F.concat(*[_pick(v, draw(f"last{nth}{k}")) for k in range(4)])) for s, v in SYLLABLES.items()]))
     size = F.size(F.split(person, " "))
-    name = F.concat(gender, F.lit("|"), F.when(size == 1, last(0)).when(size == 2, F.concat_ws(" ", first, last(0))).otherwise(F.concat_ws(" ", first, last(1), last(0))))
+    between = lambda nth: F.initcap(F.coalesce(*[F.when(script == s, F.concat(*[_pick(v, _keyed(key, f"between{k}", nth.cast("string"), form, again)) for k in range(4)])) for s, v in SYLLABLES.items()]))
+    middle = F.when(size > 3, F.array_join(F.transform(F.sequence(F.lit(2), size - 2), between), " "))
+    name = F.concat(gender, F.lit("|"), F.when(size == 1, last(0)).when(size == 2, F.concat_ws(" ", first, last(0))).otherwise(F.concat_ws(" ", first, middle, last(1), last(0))))
     return (
         F.when(kind == "email", email).when(kind == "secret", secret).when(kind == "ip", ip).when(kind == "phone", phone)
         .when(kind == "card", card).when(kind == "ssn", ssn).when(kind == "iban", iban).otherwise(name)
