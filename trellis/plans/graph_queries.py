@@ -219,8 +219,18 @@ def facet_lookup(spark, d):
 
 @query("""SELECT count(DISTINCT l_orderkey) AS bridged FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey JOIN customer ON c_nationkey = s_nationkey AND c_acctbal > 9000 WHERE p_size = 1""")
 def kg_bridge_three_hops(spark, d):
-    parts = table(spark, d, "part").filter("p_size = 1").select("p_partkey")
-    nations = table(spark, d, "customer").filter("c_acctbal > 9000").select("c_nationkey").distinct()
+    """Over a slice, as the SQL has it; ``kg_bridge_whole`` takes all parts and customers."""
+    return _three_hops(spark, d, "p_size = 1", "c_acctbal > 9000")
+
+
+@query("""SELECT count(DISTINCT l_orderkey) AS bridged FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey WHERE s_nationkey IN (SELECT c_nationkey FROM customer)""")
+def kg_bridge_whole(spark, d):
+    return _three_hops(spark, d, "true", "true")
+
+
+def _three_hops(spark, d, of_parts, of_customers):
+    parts = table(spark, d, "part").filter(of_parts).select("p_partkey")
+    nations = table(spark, d, "customer").filter(of_customers).select("c_nationkey").distinct()
     sup = table(spark, d, "supplier").join(nations, F.col("c_nationkey") == F.col("s_nationkey"), "left_semi").select("s_suppkey")
     lines = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey").join(parts, F.col("p_partkey") == F.col("l_partkey"), "left_semi").join(sup, F.col("s_suppkey") == F.col("l_suppkey"), "left_semi")
     return lines.agg(F.count_distinct("l_orderkey").alias("bridged"))

@@ -116,7 +116,19 @@ def bridge_exact_substring(spark, d):
     s AS (SELECT source, target, count(*) AS shared FROM p GROUP BY ALL HAVING count(*) >= 2)
     SELECT source, target, shared, rank FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY shared DESC, target) AS rank FROM s) WHERE rank <= 3""")
 def related_links_topk(spark, d):
-    lines = table(spark, d, "lineitem").filter("l_quantity > 45").select("l_orderkey", "l_partkey")
+    """Over a slice, as the SQL has it; ``related_links_whole`` takes all lines."""
+    return _related_links(spark, d, table(spark, d, "lineitem").filter("l_quantity > 45"))
+
+
+@query("""WITH p AS (SELECT DISTINCT c_nationkey AS source, p_brand AS target, p_name AS item FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey),
+    s AS (SELECT source, target, count(*) AS shared FROM p GROUP BY ALL HAVING count(*) >= 2)
+    SELECT source, target, shared, rank FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY shared DESC, target) AS rank FROM s) WHERE rank <= 3""")
+def related_links_whole(spark, d):
+    return _related_links(spark, d, table(spark, d, "lineitem"))
+
+
+def _related_links(spark, d, lines):
+    lines = lines.select("l_orderkey", "l_partkey")
     rows = lines.join(table(spark, d, "orders").select("o_orderkey", "o_custkey"), F.col("o_orderkey") == F.col("l_orderkey")).join(table(spark, d, "customer").select("c_custkey", "c_nationkey"), F.col("c_custkey") == F.col("o_custkey"))
     rows = rows.join(table(spark, d, "part").select("p_partkey", "p_brand", "p_name"), F.col("p_partkey") == F.col("l_partkey"))
     return link.related(rows.select(F.col("c_nationkey").alias("source"), F.col("p_brand").alias("target"), F.col("p_name").alias("item")), "source", "target", "item", 2, 3)
@@ -187,12 +199,25 @@ def canonical_label(spark, d):
     t AS (SELECT row_id, count(*) AS observable FROM f GROUP BY 1), m AS (SELECT case_id, row_id, count(*) AS matched FROM q JOIN f USING (term) GROUP BY ALL)
     SELECT row_id, case_id, matched, observable, round(matched / observable, 6) AS ratio FROM m JOIN t USING (row_id) WHERE matched >= 2 AND matched / observable >= 0.30""")
 def match_ratio_gate(spark, d):
+    """Over a slice, as the SQL has it; ``match_ratio_whole`` takes all lines on both sides."""
+    return _match_ratio(spark, d, "l_quantity = 50", "l_quantity = 1 and l_tax = 0")
+
+
+@query("""WITH l AS (SELECT l_orderkey, l_suppkey, p_type || '/' || p_size % 5 AS term FROM lineitem JOIN part ON p_partkey = l_partkey), f AS (SELECT DISTINCT l_suppkey AS row_id, term FROM l),
+    q AS (SELECT DISTINCT c_nationkey AS case_id, term FROM l JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey),
+    t AS (SELECT row_id, count(*) AS observable FROM f GROUP BY 1), m AS (SELECT case_id, row_id, count(*) AS matched FROM q JOIN f USING (term) GROUP BY ALL)
+    SELECT row_id, case_id, matched, observable, round(matched / observable, 6) AS ratio FROM m JOIN t USING (row_id) WHERE matched >= 2 AND matched / observable >= 0.30""")
+def match_ratio_whole(spark, d):
+    return _match_ratio(spark, d, "true", "true")
+
+
+def _match_ratio(spark, d, known, asked):
     term = F.concat_ws("/", "p_type", (F.col("p_size") % 5).cast("string")).alias("term")
     parts = table(spark, d, "part").select("p_partkey", term)
     lines = table(spark, d, "lineitem").join(parts, F.col("p_partkey") == F.col("l_partkey"))
-    fields = lines.filter("l_quantity = 50").select(F.col("l_suppkey").alias("row_id"), "term")
+    fields = lines.filter(known).select(F.col("l_suppkey").alias("row_id"), "term")
     buyers = table(spark, d, "orders").select("o_orderkey", "o_custkey").join(table(spark, d, "customer").select("c_custkey", "c_nationkey"), F.col("c_custkey") == F.col("o_custkey"))
-    cases = lines.filter("l_quantity = 1 and l_tax = 0").join(buyers, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("c_nationkey").alias("case_id"), "term")
+    cases = lines.filter(asked).join(buyers, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("c_nationkey").alias("case_id"), "term")
     out = gates.match_ratio(cases, fields, "case_id", "term", "row_id")
     return out.select("row_id", "case_id", "matched", "observable", F.round("ratio", 6).alias("ratio"))
 
