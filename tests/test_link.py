@@ -1,6 +1,7 @@
 """Linkage operators against plain Python."""
 
 from trellis.operators import link
+from trellis.plans import link_queries
 
 
 def test_name_bridge(spark):
@@ -20,3 +21,15 @@ def test_name_bridge(spark):
     # A hub of exact links keeps them: seven items have the word.
     many = spark.createDataFrame([("fever",)] * 7, "n string")
     assert link.name_bridge(spark.createDataFrame([("fever",)], "w string"), many, "w", "n", 5).count() == 1
+
+
+def test_documents_that_hold_an_item(spark):
+    """Items of any number of words are found, also where they begin or end inside a word."""
+    body = "zero one two three four five six seven eight nine ten"
+    docs = [(1, body), (2, "x" + body + "y"), (3, "one  two\nthree"), (4, ""), (5, None), (6, body.replace(" ", "\n"))]
+    texts = [" ".join(body.split(" ")[a : a + n]) for n in range(1, 10) for a in (0, 1, 2)] + ["ne two three four five six sev", "ro one two three four fi", "o", "", None, "one two", "absent words of some length that no document has"]
+    items = list(enumerate(texts))
+    got = link_queries._holding(spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, body string"))
+    want = {(i, d) for i, t in items for d, b in docs if t is not None and b is not None and t in b}
+    rows = [(r["item_id"], r["doc_id"]) for r in got.collect()]
+    assert set(rows) == want and len(rows) == len(want)

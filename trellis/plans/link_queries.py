@@ -168,14 +168,23 @@ def bm25_topk(spark, d):
     SELECT count(*) AS queries, count(h.item_id) AS hits, round(count(h.item_id) / count(*), 6) AS recall FROM (SELECT DISTINCT item_id FROM rel) r LEFT JOIN h USING (item_id)""")
 def recall_at_k(spark, d):
     """Benchmark items (a query set of bounded size, broadcast only below a checked size) against the documents that hold them."""
-    items, docs = table(spark, d, "benchmark"), table(spark, d, "documents").select("doc_id", F.col("text").alias("body"))
+    relevant = _holding(table(spark, d, "benchmark"), table(spark, d, "documents").select("doc_id", F.col("text").alias("body")))
+    return rank.recall_at_k(_bm25(spark, d), relevant, "item_id", "doc_id", 3)
+
+
+def _holding(items, docs):
+    """(item_id, doc_id) of the documents whose body contains the item's text."""
     # Candidates share five words near the item's start; the substring test then decides.
     pair = lambda w: F.explode(F.element_at(F.transform(F.array(w), lambda v: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(v) - 4, F.lit(1))), lambda i: F.concat_ws(" ", F.slice(v, i, F.lit(5)))))), 1))
     head = lambda w: F.concat_ws(" ", F.slice(w, 2, 5))
-    q = items.select("item_id", "text", head(F.split("text", r"[ \n]+")).alias("seed"))
+    words = F.split("text", r"[ \n]+")
+    # Words 2 to 6 stand whole in the document if a seventh follows; shorter items meet every document.
+    long = F.size(words) > 6
+    q = items.filter(long).select("item_id", "text", head(words).alias("seed"))
+    short = items.filter(~long).select("item_id", "text").join(docs, F.col("body").contains(F.col("text")))
     c = docs.select("doc_id", "body", pair(F.split("body", r"[ \n]+")).alias("seed"))
-    relevant = q.join(c, "seed").filter(F.col("body").contains(F.col("text"))).select("item_id", "doc_id").distinct()
-    return rank.recall_at_k(_bm25(spark, d), relevant, "item_id", "doc_id", 3)
+    found = q.join(c, "seed").filter(F.col("body").contains(F.col("text"))).select("item_id", "doc_id")
+    return found.unionByName(short.select("item_id", "doc_id")).distinct()
 
 
 @query("""WITH n AS (SELECT doc_id, lower(text) AS k FROM documents), u AS (SELECT k, min(doc_id) AS doc_id FROM n GROUP BY k HAVING count(*) = 1)
