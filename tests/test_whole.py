@@ -23,3 +23,11 @@ def test_match_ratio_rows(spark):
     """Every supplier with a line is a row of the knowledge side."""
     suppliers = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_suppkey").distinct().count()
     assert QUERIES["match_ratio_whole"](spark, SF).select("row_id").distinct().count() == suppliers
+
+
+def test_review_and_tiers_of_all_rows(spark):
+    merged = QUERIES["review_merge_whole"](spark, SF)
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    assert sorted(r["o_orderkey"] for r in merged.collect()) == sorted(r["o_orderkey"] for r in orders.collect())
+    assert {r["action"] for r in merged.select("action").distinct().collect()} == {"kept", "insert", "unchanged", "replace", "supersede", "conflict"}
+    assert QUERIES["tiered_match_whole"](spark, SF).count() == spark.read.parquet(f"{SF}/part.parquet").count()
