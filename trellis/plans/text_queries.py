@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from trellis.functions import terms
 from trellis.functions import text as T
 from trellis.functions.textkeys import array_key, paren_free, strip_lower_ws
 from trellis.plans.registry import query, table
@@ -42,7 +43,7 @@ def name_bucket(spark, d):
 
 @query()
 def longest_match_negation(spark, d):
-    matcher = T.TermMatcher(VOCABULARY, single_words=["erhe", "thand"], cues=["not", "sin"], emphatic=["only"], stops=["but", "pero"])
+    matcher = terms.TermMatcher(VOCABULARY, single_words=["erhe", "thand"], cues=["not", "sin"], emphatic=["only"], stops=["but", "pero"])
     return table(spark, d, "documents").select("doc_id", F.array_join(matcher.column(F.col("text")), "|").alias("terms"))
 
 

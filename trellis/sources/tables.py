@@ -23,10 +23,10 @@ def read_csv(spark: SparkSession, path: str, required: list[str] = ()) -> DataFr
 
 def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
     """Fixed column order, quotes doubled, formulas made harmless."""
-    from trellis.functions.text import csv_safe
+    from trellis.operators.review import formula_guard
 
     kinds = dict(df.dtypes)
-    df.select(*[csv_safe(F.col(c)).alias(c) if kinds[c] == "string" else F.col(c) for c in columns]).write.mode("errorifexists").csv(path, header=True, escape='"', quoteAll=True)
+    df.select(*[formula_guard(F.col(c)).alias(c) if kinds[c] == "string" else F.col(c) for c in columns]).write.mode("errorifexists").csv(path, header=True, escape='"', quoteAll=True)
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str, hash_col: str | None = None, expected: str | None = None) -> DataFrame:
@@ -67,11 +67,3 @@ def merge_json_dir(spark: SparkSession, pattern: str, schema: str, key: str) ->
     """Records of all files; of one key, that of the last file by name."""
     df = spark.read.schema(schema).json(pattern).withColumn("__file", F.input_file_name())
     return latest_wins(df, [key], [F.desc("__file")]).drop("__file")
-
-
-def dictionary_lookup(rows: DataFrame, dictionary: DataFrame, key: str, value: str) -> DataFrame:
-    """The exact key's value first, else that of the lower-case key."""
-    low = dictionary.groupBy(F.lower(key).alias("__low")).agg(F.min_by(value, key).alias("__v"))
-    exact = dictionary.select(F.col(key), F.col(value).alias("__x"))
-    joined = rows.join(exact, key, "left").withColumn("__low", F.lower(key)).join(low, "__low", "left")
-    return joined.withColumn(value, F.coalesce("__x", "__v")).drop("__x", "__v", "__low")
