@@ -383,7 +383,7 @@ def test_suffixes(spark, docs, empty, monkeypatch, hot):
 def test_merge_runs():
     rng = random.Random(9)
     for k in (1, 2, 3, 7):
-        runs = [sorted((bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 12))), b"l", 1, 2) for _ in range(rng.randint(1, 40))) for _ in range(k)]
+        runs = [sorted((bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 12))), b"l", 1, 2, 3) for _ in range(rng.randint(1, 40))) for _ in range(k)]
         out = list(suffixes.merge_runs([suffixes.read_run(suffixes.write_run(r)) for r in runs]))
         assert [e[0] for e in out] == sorted(e[0] for r in runs for e in r)
         assert all(b[1] == suffixes.common_prefix(a[0], b[0]) for a, b in zip(out, out[1:]))

@@ -46,12 +46,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._trellis_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` of which every reader has been written to a later one."""
+    for table in tables:
+        spark, path = table.sparkSession, table._trellis_path
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
-#: Rows in an Arrow batch where the session has Spark's default: whole texts make large rows.
-BATCH_ROWS = "1000"
-_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows and bytes in an Arrow batch, each where the session has Spark's default: whole texts make large rows.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864", "16777216")}
 
 
 def _release_memory() -> None:
@@ -66,8 +75,9 @@ def map_arrow(df: DataFrame, function, schema) -> DataFrame:
     """``mapInArrow`` with this package importable on the executors, small batches and memory given back at the end."""
     spark = df.sparkSession
     ship_package(spark)
-    if spark.conf.get(_BATCH_KEY) == "10000":
-        spark.conf.set(_BATCH_KEY, BATCH_ROWS)
+    for key, (default, bound) in BATCH.items():
+        if spark.conf.get(key, default) in (default, "64MB"):
+            spark.conf.set(key, bound)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:

@@ -9,10 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trellis.llm.common import map_arrow, materialize
-
-MAX_ROUNDS = 60
-
+from trellis.llm.common import discard, map_arrow, materialize
 
 class Forest:
     """Union-find over hashable nodes; the root of a tree is its smallest node."""
@@ -66,23 +63,23 @@ def _stars(links: DataFrame, large: bool) -> DataFrame:
         least = materialize(links.groupBy("u").agg(F.min("v").alias("m")), "least")
         joined = links.join(least, "u")
         out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-    return out.filter("u <> v").distinct()
+    after = materialize(out.filter("u <> v").distinct(), "links")
+    discard(least, links)
+    return after
 
 
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, root) for each node of the (u, v) links that isn't its own root; the root is the smallest node.
 
-    Each round's links are written to the shared folder, so a lost executor costs one round at most.
+    Each round's links are written to the shared folder, so a lost executor costs one round at most.  The rounds end
+    when one changes nothing, after a number of them that grows with the logarithm of the largest component.
     """
     links = links.select(F.col("u").cast("long"), F.col("v").cast("long")).filter("u is not null and v is not null and u <> v")
     links = materialize(map_arrow(links, _contract, "u long, v long"), "links")
     state = None
-    for _ in range(MAX_ROUNDS):
+    while True:
         after = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if tuple(after) == state or not after["n"]:
-            break
+            return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
         state = tuple(after)
-        links = materialize(_stars(materialize(_stars(links, True), "links"), False), "links")
-    else:
-        raise RuntimeError("connected components did not settle")
-    return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        links = _stars(_stars(links, True), False)

@@ -1,8 +1,8 @@
 """Repeated byte strings by a distributed merge sort of sampled suffixes that knows common prefixes.
 
 A byte is removed if a string of LENGTH bytes around it also starts anywhere else.  Sorting every suffix is not
-needed to find those strings: each LENGTH-byte window elects the smallest hash of its GRAM-byte strings, so equal
-windows elect the same place, and only suffixes that start at elected places (about one byte in 150) are kept.
+needed to find those strings: each PASSAGE-byte window elects the smallest hash of its GRAM-byte strings, so equal
+windows elect the same place, and only suffixes that start at elected places (about one byte in 90) are kept.
 
 1. Elect places; each has the hash of its gram and of its context: up to REACH bytes before it, LENGTH after.
 2. Count grams with map-side combining.  A gram that occurs once repeats nothing: most places end here.
@@ -11,12 +11,17 @@ windows elect the same place, and only suffixes that start at elected places (ab
    exchanged front-coded (each entry as what it shares with the one before, and its tail).  A loser tree merges
    the runs and compares two entries only after the prefix that they are known to share.
 5. Along the sorted suffixes, a window that starts o bytes before its place is repeated if, among neighbours with
-   a common prefix of LENGTH - o, another class has the same o bytes before it.
+   a common prefix of its length less o, another class has the same o bytes before it.
+
+The same merge answers for two lengths.  Windows of LENGTH bytes are what is removed, wherever their equals stand.
+Windows of PASSAGE bytes whose equals stand in another document only tell of passages that documents share: one of
+over PASSAGE_WORDS words may have fewer than LENGTH bytes.
 
 Runs are dealt by the gram's hash, not by key ranges: only suffixes of one gram are ever compared, so no range is
 hot because a prefix is frequent.  Copies meet as classes with counts, not as rows.  A gram with over HOT_CONTEXTS
-different contexts (a line that stands in very many texts) doesn't meet in one task: its windows are counted by
-hash instead, first by the bytes that a range of windows has in common, then one by one where those repeat.
+different contexts (a line that stands in very many texts) is dealt by longer keys: for each range of offsets o, by
+the bytes that all windows of the range have in common, and each such group is merged like a gram.  In a group that
+is still as large the windows themselves are the keys, and then counting them is enough.
 """
 
 from __future__ import annotations
@@ -31,17 +36,23 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trellis.llm.common import doc_texts, map_arrow, materialize, mix64, powers, prefix_hash, row_chunks, span_hash, text_buffer
+from trellis.llm.common import CHUNK_BYTES, discard, doc_texts, map_arrow, materialize, mix64, powers, prefix_hash, row_chunks, span_hash, text_buffer
 
 LENGTH = 400
-GRAM = 96
-REACH = LENGTH - GRAM  # a window's elected place is at most so many bytes after its start
+PASSAGE = 240
+PASSAGE_WORDS = 50
+LENGTHS = (LENGTH, PASSAGE)
+SEVERAL = -(1 << 63)  # in place of a document's hash, which is never so low
+GRAM = 64
+REACH = PASSAGE - GRAM  # a window's elected place is at most so many bytes after its start
 RUN_ENTRIES = 20_000
 BLOCK_ENTRIES = 4096
 HOT_CONTEXTS = 20_000
 TASK_ENTRIES = 100_000
-#: Offsets of windows before their place, in ranges (first, last): all windows of a range share LENGTH - (last - first) bytes.
-RANGES = [(a, min(a + 38, REACH)) for a in range(0, REACH + 1, 39)]
+#: Offsets of windows before their place, in ranges (first, last): all windows of a range share PASSAGE - (last - first) bytes.
+RANGES = [(a, min(a + 35, REACH)) for a in range(0, REACH + 1, 36)]
+#: Low bits of a gram's hash that make way for its place: the first of equal grams is elected, whatever the chunk.
+_PLACE_BITS = np.uint64(22)
 _LOWEST = -(1 << 63)
 
 
@@ -49,12 +60,12 @@ def elect(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """Elected places of all rows, and the hashes of their grams."""
     n, width = len(buf), REACH + 1
     size = np.diff(offsets)
-    rows = np.flatnonzero(size >= LENGTH)
+    rows = np.flatnonzero(size >= PASSAGE)
     if not len(rows):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     at = np.arange(n - GRAM + 1)
     grams = span_hash(prefix_hash(buf), at, at + GRAM)
-    bits = np.uint64(max(1, int(n).bit_length()))
+    bits = _PLACE_BITS
     best = (grams >> bits << bits) | at.astype(np.uint64)
     step = 1
     while 2 * step <= width:
@@ -62,13 +73,28 @@ def elect(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         step *= 2
     if width > step:
         best = np.minimum(best[: len(best) - (width - step)], best[width - step :])
-    windows = size[rows] - LENGTH + 1
+    windows = size[rows] - PASSAGE + 1
     starts = np.arange(int(windows.sum())) + np.repeat(offsets[rows] - (np.cumsum(windows) - windows), windows)
     places = (best[starts] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
     places = places[np.append(True, places[1:] != places[:-1])]
     return places, grams[places]
 
 
+def elect_long(buf: np.ndarray, step: int = CHUNK_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """``elect`` of one long text, in pieces of ``step`` windows."""
+    places, grams, last = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], -1
+    for first in range(0, len(buf) - PASSAGE + 1, step):
+        piece = buf[first : first + step + PASSAGE - 1]
+        at, found = elect(piece, np.array([0, len(piece)]))
+        at = at + first
+        # The last window of a piece and the first of the next may elect one place.
+        again = int(at[0] == last)
+        places.append(at[again:])
+        grams.append(found[again:])
+        last = at[-1]
+    return np.concatenate(places), np.concatenate(grams)
+
+
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["key", "mark", "pos", "before", "after", "gram", "context"]
     for batch in batches:
@@ -76,7 +102,7 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, mark = np.asarray(batch.column(0)), np.asarray(batch.column(2))
         for a, b in row_chunks(offsets):
             part, local = buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-            places, grams = elect(part, local)
+            places, grams = elect_long(part) if b - a == 1 else elect(part, local)
             row = np.searchsorted(local, places, side="right") - 1
             before = np.minimum(places - local[row], REACH)
             after = np.minimum(local[row + 1] - places, LENGTH)
@@ -98,33 +124,36 @@ def common_prefix(a: bytes, b: bytes, known: int = 0) -> int:
     return n if not x else n - (x.bit_length() + 7) // 8
 
 
-def write_run(entries: list[tuple[bytes, bytes, int, int]]) -> bytes:
-    """A front-coded run of (suffix, bytes before it, gram, context) entries that are sorted by suffix."""
+Entry = tuple[bytes, bytes, int, int, int]
+
+
+def write_run(entries: list[Entry]) -> bytes:
+    """A front-coded run of (suffix, bytes before it, gram, context, document) entries that are sorted by suffix."""
     shared, previous = [], b""
     for e in entries:
         shared.append(common_prefix(previous, e[0]))
         previous = e[0]
     heads = np.array([shared, [len(e[0]) for e in entries], [len(e[1]) for e in entries]], dtype=np.uint16)
-    ids = np.array([[e[2] for e in entries], [e[3] for e in entries]], dtype=np.int64)
+    ids = np.array([[e[k] for e in entries] for k in (2, 3, 4)], dtype=np.int64)
     tails = b"".join(e[0][h:] for e, h in zip(entries, shared, strict=True))
     return struct.pack("<II", len(entries), len(tails)) + heads.tobytes() + ids.tobytes() + tails + b"".join(e[1] for e in entries)
 
 
-def read_run(data: bytes) -> Iterator[tuple[bytes, int, bytes, int, int]]:
-    """(suffix, bytes shared with the one before, bytes before it, gram, context) in order."""
+def read_run(data: bytes) -> Iterator[tuple[bytes, int, bytes, int, int, int]]:
+    """(suffix, bytes shared with the one before, bytes before it, gram, context, document) in order."""
     n, tail_size = struct.unpack_from("<II", data)
     heads = np.frombuffer(data, np.uint16, 3 * n, 8).reshape(3, n).tolist()
-    ids = np.frombuffer(data, np.int64, 2 * n, 8 + 6 * n).reshape(2, n).tolist()
-    tail = 8 + 6 * n + 16 * n
+    ids = np.frombuffer(data, np.int64, 3 * n, 8 + 6 * n).reshape(3, n).tolist()
+    tail = 8 + 6 * n + 24 * n
     before, suffix = tail + tail_size, b""
-    for shared, size, left, gram, context in zip(*heads, *ids, strict=True):
+    for shared, size, left, *own in zip(*heads, *ids, strict=True):
         suffix = suffix[:shared] + data[tail : tail + size - shared]
         tail += size - shared
-        yield suffix, shared, data[before : before + left], gram, context
+        yield suffix, shared, data[before : before + left], *own
         before += left
 
 
-def merge_runs(runs: list[Iterator[tuple]]) -> Iterator[tuple[bytes, int, bytes, int, int]]:
+def merge_runs(runs: list[Iterator[tuple]]) -> Iterator[tuple[bytes, int, bytes, int, int, int]]:
     """Merge sorted runs by a loser tree; the second field becomes the prefix shared with the entry put out before.
 
     Each contender knows its common prefix with the last winner.  Of two, the longer one is smaller, and the
@@ -170,70 +199,100 @@ def merge_runs(runs: list[Iterator[tuple]]) -> Iterator[tuple[bytes, int, bytes,
             node //= 2
 
 
-def repeated_offsets(entries: list[tuple[bytes, int, bytes, int, int]]) -> Iterator[tuple[int, int, int, int]]:
-    """(gram, context, lo, hi): windows that start lo to hi bytes before the place stand around another context, too.
+def repeated_offsets(entries: list[tuple[bytes, int, bytes, int, int, int]]) -> Iterator[tuple[int, int, int, int, int]]:
+    """(gram, context, length, lo, hi): windows that start lo to hi bytes before the place stand around another context, too.
 
-    ``entries`` are distinct contexts in suffix order, each with the prefix shared with the one before it.
+    ``entries`` are distinct contexts in suffix order, each with the prefix shared with the one before it and the
+    document that has it (SEVERAL: more than one).  Windows of PASSAGE bytes count if they stand in several documents.
     """
     n = len(entries)
     shared = np.array([e[1] for e in entries], dtype=np.int64)
     shared[0] = 0
     after = np.array([len(e[0]) for e in entries])
     before = np.array([len(e[2]) for e in entries])
+    document = np.array([e[5] for e in entries], dtype=np.int64)
     reverse = np.zeros((n, REACH), dtype=np.uint8)
     for i, e in enumerate(entries):
         reverse[i, : len(e[2])] = np.frombuffer(e[2], np.uint8)[::-1]
     power = powers(REACH + 1)
     left = np.zeros(n, dtype=np.uint64)
-    found = np.zeros((REACH + 2, n), dtype=bool)
+    found = {length: np.zeros((REACH + 2, n), dtype=bool) for length in LENGTHS}
     for o in range(REACH + 1):
         if o:
             left = left + (reverse[:, o - 1].astype(np.uint64) + np.uint64(1)) * power[o - 1]
-        apart = shared < LENGTH - o
-        if apart.all():
-            continue
-        usable = np.flatnonzero((before >= o) & (after >= LENGTH - o))
-        key = mix64(left[usable] + mix64(np.cumsum(apart)[usable].astype(np.uint64)))
-        order = np.argsort(key, kind="stable")
-        same = key[order][1:] == key[order][:-1]
-        twice = np.zeros(len(order), dtype=bool)
-        twice[1:] |= same
-        twice[:-1] |= same
-        found[o, usable[order[twice]]] = True
+        for length in LENGTHS:
+            apart = shared < length - o
+            if apart.all():
+                continue
+            usable = np.flatnonzero((before >= o) & (after >= length - o))
+            if len(usable) < 2:
+                continue
+            key = mix64(left[usable] + mix64(np.cumsum(apart)[usable].astype(np.uint64)))
+            order = np.argsort(key, kind="stable")
+            heads = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
+            count = np.diff(np.append(heads, len(order)))
+            met = count > 1
+            if length == PASSAGE:
+                of = document[usable[order]]
+                least = np.minimum.reduceat(of, heads)
+                met &= (least != np.maximum.reduceat(of, heads)) | (least == SEVERAL)
+            found[length][o, usable[order[np.repeat(met, count)]]] = True
     edge = np.zeros((1, n), dtype=bool)
-    change = np.diff(np.concatenate([edge, found]).astype(np.int8), axis=0)
-    first = np.argwhere(change.T == 1)
-    last = np.argwhere(change.T == -1)
-    for (i, lo), (_, end) in zip(first.tolist(), last.tolist(), strict=True):
-        yield entries[i][3], entries[i][4], lo, end - 1
+    for length, flags in found.items():
+        change = np.diff(np.concatenate([edge, flags]).astype(np.int8), axis=0)
+        first = np.argwhere(change.T == 1)
+        last = np.argwhere(change.T == -1)
+        for (i, lo), (_, end) in zip(first.tolist(), last.tolist(), strict=True):
+            yield entries[i][3], entries[i][4], length, lo, end - 1
 
 
-def _runs(parts: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-        size = 0
+class _RunWriter:
+    """Sorted front-coded runs of the entries dealt to each part; at most RUN_ENTRIES are held."""
+
+    def __init__(self):
+        self.held: dict[int, list] = {}
+        self.size = 0
+
+    def add(self, part: int, entry: Entry) -> None:
+        self.held.setdefault(part, []).append(entry)
+        self.size += 1
 
-        def flush() -> pa.RecordBatch:
-            order = sorted(held)
-            data = [write_run(sorted(held[p])) for p in order]
-            return pa.RecordBatch.from_arrays([pa.array(order, pa.int32()), pa.array(data, pa.binary())], names=["part", "run"])
+    def flush(self) -> pa.RecordBatch:
+        order = sorted(self.held)
+        data = [write_run(sorted(self.held[p])) for p in order]
+        self.held, self.size = {}, 0
+        return pa.RecordBatch.from_arrays([pa.array(order, pa.int64()), pa.array(data, pa.binary())], names=["part", "run"])
 
+
+def _runs(parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        writer = _RunWriter()
         for batch in batches:
             for text, wants in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 raw = text.encode()
                 for w in wants:
                     p = w["pos"]
-                    held.setdefault(w["gram"] % parts, []).append((raw[p : p + w["after"]], raw[p - w["before"] : p], w["gram"], w["context"]))
-                size += len(wants)
-                if size >= RUN_ENTRIES:
-                    yield flush()
-                    held, size = {}, 0
-        if size:
-            yield flush()
+                    writer.add(w["gram"] % parts, (raw[p : p + w["after"]], raw[p - w["before"] : p], w["gram"], w["context"], w["doc"]))
+                    if writer.size >= RUN_ENTRIES:
+                        yield writer.flush()
+        if writer.size:
+            yield writer.flush()
 
     return run
 
 
+def _group_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of the groups of a hot gram: each group is a part of its own."""
+    writer = _RunWriter()
+    for batch in batches:
+        for group, gram, context, doc, around, before in zip(*[column.to_pylist() for column in batch.columns], strict=True):
+            writer.add(group, (around[before:], around[:before], gram, context, doc))
+            if writer.size >= RUN_ENTRIES:
+                yield writer.flush()
+    if writer.size:
+        yield writer.flush()
+
+
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     runs: dict[int, list[bytes]] = {}
     for batch in batches:
@@ -242,8 +301,8 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out(block: list) -> pa.RecordBatch:
         rows = list(repeated_offsets(block)) if len(block) > 1 else []
-        columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["gram", "context", "lo", "hi"])
+        columns = list(zip(*rows, strict=True)) or [[], [], [], [], []]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], names=_OFFSETS)
 
     for part in sorted(runs):
         block: list = []
@@ -263,56 +322,76 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, wants in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             raw = text.encode()
             for first in range(0, len(wants), BLOCK_ENTRIES):
-                gram, context, around, before, keys = [], [], [], [], []
+                gram, context, doc, around, before, keys = [], [], [], [], [], []
                 for w in wants[first : first + BLOCK_ENTRIES]:
                     p, x, y = w["pos"], w["before"], w["after"]
                     gram.append(w["gram"])
                     context.append(w["context"])
+                    doc.append(w["doc"])
                     around.append(raw[p - x : p + y])
                     before.append(x)
-                    keys.append([digest(raw[p - a : p + LENGTH - b], a) - (1 << 63) if x >= a and y >= LENGTH - b else None for a, b in RANGES])
+                    keys.append([digest(raw[p - a : p + PASSAGE - b], a) - (1 << 63) if x >= a and y >= PASSAGE - b else None for a, b in RANGES])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(gram, pa.int64()), pa.array(context, pa.int64()), pa.array(around, pa.binary()), pa.array(before, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
-                    names=["gram", "context", "around", "before", "keys"],
+                    [pa.array(gram, pa.int64()), pa.array(context, pa.int64()), pa.array(doc, pa.int64()), pa.array(around, pa.binary()), pa.array(before, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
+                    names=["gram", "context", "doc", "around", "before", "keys"],
                 )
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, context, o, window): the hashes of the windows of the given ranges."""
+    """(gram, context, doc, length, o, window): the hashes of the windows of the given ranges."""
     digest = xxhash.xxh3_64_intdigest
     for batch in batches:
-        gram, context, at, window = [], [], [], []
-        for g, c, around, before, ranges in zip(*[column.to_pylist() for column in batch.columns], strict=True):
+        rows = []
+        for gram, context, doc, around, before, ranges in zip(*[column.to_pylist() for column in batch.columns], strict=True):
             for r in ranges:
                 for o in range(RANGES[r][0], RANGES[r][1] + 1):
                     begin = before - o
-                    if begin >= 0 and begin + LENGTH <= len(around):
-                        gram.append(g)
-                        context.append(c)
-                        at.append(o)
-                        window.append(digest(around[begin : begin + LENGTH], o) - (1 << 63))
-        yield pa.RecordBatch.from_arrays([pa.array(gram, pa.int64()), pa.array(context, pa.int64()), pa.array(at, pa.int32()), pa.array(window, pa.int64())], names=["gram", "context", "o", "window"])
+                    for length in LENGTHS:
+                        if begin >= 0 and begin + length <= len(around):
+                            rows.append((gram, context, doc, length, o, digest(around[begin : begin + length], o) - (1 << 63)))
+        columns = list(zip(*rows, strict=True)) or [[], [], [], [], [], []]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["gram", "context", "doc", "length", "o", "window"])
+
 
+_OFFSETS = ["gram", "context", "length", "lo", "hi"]
+_OFFSETS_SCHEMA = "gram long, context long, length int, lo int, hi int"
 
-def _counted_windows(fetched: DataFrame) -> DataFrame:
-    """(gram, context, lo, hi) as ``_merge`` gives them, for grams of any number of contexts.
 
-    Windows around one place overlap, so the first and the last repeated one cover all that those between cover.
+def _hot_offsets(fetched: DataFrame) -> DataFrame:
+    """(gram, context, length, lo, hi) as ``_merge`` gives them, for grams of any number of contexts.
+
+    Contexts are dealt once for each range of offsets, by what all windows of the range have in common: equal windows
+    meet in one group.  Groups are merged like grams; one that is still too large for a task counts its windows.
     """
-    around = materialize(map_arrow(fetched, _contexts, "gram long, context long, around binary, before int, keys array<long>"), "hot-contexts")
+    around = materialize(map_arrow(fetched, _contexts, "gram long, context long, doc long, around binary, before int, keys array<long>"), "hot-contexts")
     ranges = materialize(around.select("gram", "context", F.posexplode("keys").alias("r", "key")).filter("key is not null"), "hot-ranges")
-    repeated = materialize(ranges.groupBy("gram", "r", "key").count().filter("count > 1").drop("count"), "hot-range-keys")
-    # A window of a range has the bytes common to the range: without that key the range has none around this place.
-    met = ranges.join(repeated, ["gram", "r", "key"]).groupBy("gram", "context").agg(F.sort_array(F.collect_set("r")).alias("met"))
-    looked = around.drop("keys").join(met, ["gram", "context"]).select("gram", "context", "around", "before", "met")
-    windows = materialize(map_arrow(looked, _windows, "gram long, context long, o int, window long"), "hot-windows")
-    twice = materialize(windows.groupBy("gram", "o", "window").count().filter("count > 1").drop("count"), "hot-window-keys")
-    return windows.join(twice, ["gram", "o", "window"]).groupBy("gram", "context").agg(F.min("o").alias("lo"), F.max("o").alias("hi"))
+    groups = materialize(ranges.groupBy("gram", "r", "key").agg(F.count("*").alias("n")).filter("n > 1"), "hot-groups")
+    members = ranges.join(groups, ["gram", "r", "key"])
+    small = members.filter(F.col("n") <= HOT_CONTEXTS).select(F.xxhash64("gram", "r", "key").alias("group"), "gram", "context")
+    deal = _deal(small.sparkSession, small.count())
+    entries = small.join(around.drop("keys"), ["gram", "context"]).select("group", "gram", "context", "doc", "around", "before")
+    merged = map_arrow(map_arrow(entries, _group_runs, "part long, run binary").repartition(deal, "part"), _merge, _OFFSETS_SCHEMA)
+    # Found windows of one place overlap, so the first and the last one cover all that those between cover.
+    large = members.filter(F.col("n") > HOT_CONTEXTS).groupBy("gram", "context").agg(F.sort_array(F.collect_set("r")).alias("met"))
+    looked = around.join(large, ["gram", "context"]).select("gram", "context", "doc", "around", "before", "met")
+    windows = materialize(map_arrow(looked, _windows, "gram long, context long, doc long, length int, o int, window long"), "hot-windows")
+    several = (F.min("doc") != F.max("doc")) | (F.min("doc") == SEVERAL)
+    twice = windows.groupBy("gram", "length", "o", "window").agg(F.count("*").alias("n"), several.alias("several")).filter(F.col("several") | (F.col("length") == LENGTH)).filter("n > 1")
+    twice = materialize(twice.drop("n", "several"), "hot-window-keys")
+    counted = windows.join(twice, ["gram", "length", "o", "window"]).select("gram", "context", "length", F.col("o").alias("lo"), F.col("o").alias("hi"))
+    found = merged.unionByName(counted)
+    return found.groupBy("gram", "context", "length").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+
+def _deal(spark, entries: int) -> int:
+    """Partitions for so many entries: a task holds the runs of TASK_ENTRIES of them."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-entries // TASK_ENTRIES))
 
 
 def _fetch(texts: DataFrame, classes: DataFrame, repeats: bool) -> DataFrame:
     """The texts that stand for the classes, each with the places wanted from it."""
-    want = F.struct(F.col("r.pos").alias("pos"), F.col("r.before").alias("before"), F.col("r.after").alias("after"), "gram", "context")
+    want = F.struct(F.col("r.pos").alias("pos"), F.col("r.before").alias("before"), F.col("r.after").alias("after"), "gram", "context", "doc")
     wanted = classes.groupBy(F.col("r.key").alias("key"), F.col("r.mark").alias("mark")).agg(F.collect_list(want).alias("wants"))
     fetched = texts.join(wanted, ["key", "mark"])
     # Rows with one id and one text are the same text: any of them serves.
@@ -320,20 +399,25 @@ def _fetch(texts: DataFrame, classes: DataFrame, repeats: bool) -> DataFrame:
 
 
 def repeated_spans(keyed: DataFrame, texts: DataFrame) -> DataFrame:
-    """(key, mark, spans): byte spans [lo, hi) of repeated windows, unmerged, of each of the ``_keyed`` texts that has any.
+    """(key, mark, spans): byte spans (length, lo, hi) of repeated windows, unmerged, of each of the ``_keyed`` texts that has any.
 
     ``texts``: the same rows, dealt by key and mark.
     """
-    spark = keyed.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     schema = "key long, mark long, pos long, before int, after int, gram long, context long"
-    places = materialize(map_arrow(keyed.filter(F.octet_length("text") >= LENGTH).select("key", "text", "mark"), _places, schema), "places")
+    places = materialize(map_arrow(keyed.filter(F.octet_length("text") >= PASSAGE).select("key", "text", "mark"), _places, schema), "places")
     # Written tables on both sides of a join let adaptive execution split a gram that many places have.
     grams = places.groupBy("gram").agg(F.count("*").alias("n"), (F.min("context") != F.max("context")).alias("mixed")).filter("n > 1")
-    shared = materialize(places.join(materialize(grams.select("gram", "mixed"), "grams"), "gram"), "shared-places")
-    classes = shared.groupBy("gram", "context", "mixed").agg(F.count("*").alias("n"), F.min(F.struct("key", "mark", "pos", "before", "after")).alias("r"))
-    classes = materialize(classes, "contexts")
-    whole = classes.filter("n > 1").select("gram", "context", F.greatest(F.lit(0), LENGTH - F.col("r.after")).alias("lo"), F.col("r.before").alias("hi")).filter("lo <= hi")
+    grams = materialize(grams.select("gram", "mixed"), "grams")
+    shared = materialize(places.join(grams, "gram"), "shared-places")
+    discard(places, grams)
+    first, last = F.min(F.struct("key", "mark", "pos", "before", "after")), F.max(F.struct("key", "mark"))
+    classes = shared.groupBy("gram", "context", "mixed").agg(F.count("*").alias("n"), first.alias("r"), last.alias("last"))
+    alone = (F.col("r.key") == F.col("last.key")) & (F.col("r.mark") == F.col("last.mark"))
+    document = F.when(alone, F.xxhash64("r.key", "r.mark")).otherwise(SEVERAL)
+    classes = materialize(classes.select("gram", "context", "mixed", "n", "r", document.alias("doc")), "contexts")
+    both = F.explode(F.array(*[F.lit(x) for x in LENGTHS])).alias("length")
+    whole = classes.filter("n > 1").select("gram", "context", "doc", "r.before", "r.after", both).filter((F.col("length") == LENGTH) | (F.col("doc") == SEVERAL))
+    whole = whole.select("gram", "context", "length", F.greatest(F.lit(0), F.col("length") - F.col("after")).alias("lo"), F.col("before").alias("hi")).filter("lo <= hi")
     mixed = classes.filter("mixed")
     hot = materialize(mixed.groupBy("gram").count().filter(F.col("count") > HOT_CONTEXTS).select("gram"), "hot-grams")
     any_hot = not hot.isEmpty()
@@ -341,14 +425,16 @@ def repeated_spans(keyed: DataFrame, texts: DataFrame) -> DataFrame:
     repeats = _repeats(shared)
     # "known" is not needed here, but leaves the exchange of the texts the same as the last join's, and so reused.
     fetched = _fetch(texts, cool, repeats)
-    deal = max(parts, -(-cool.count() // TASK_ENTRIES))
-    runs = map_arrow(fetched.select("text", "wants", "known"), _runs(deal), "part int, run binary").repartition(deal, "part")
-    some = map_arrow(runs, _merge, "gram long, context long, lo int, hi int")
+    deal = _deal(keyed.sparkSession, cool.count())
+    runs = map_arrow(fetched.select("text", "wants", "known"), _runs(deal), "part long, run binary").repartition(deal, "part")
+    some = map_arrow(runs, _merge, _OFFSETS_SCHEMA)
     if any_hot:
-        some = some.unionByName(_counted_windows(_fetch(texts, mixed.join(hot, "gram", "left_semi"), repeats).select("text", "wants")))
-    single = classes.filter("mixed and n = 1").select("gram", "context", "r.key", "r.mark", "r.pos")
-    span = F.struct((F.col("pos") - F.col("hi")).alias("lo"), (F.col("pos") - F.col("lo") + LENGTH).alias("hi")).alias("span")
-    spans = shared.join(whole, ["gram", "context"]).select("key", "mark", span).unionByName(some.join(single, ["gram", "context"]).select("key", "mark", span))
+        some = some.unionByName(_hot_offsets(_fetch(texts, mixed.join(hot, "gram", "left_semi"), repeats).select("text", "wants")))
+    # Places of a class of several are covered by ``whole`` already, but for shared passages of one document.
+    single = classes.filter(F.col("mixed") & ((F.col("n") == 1) | (F.col("doc") != SEVERAL))).select("gram", "context")
+    found = whole.unionByName(some.join(single, ["gram", "context"]).select(*_OFFSETS))
+    span = F.struct("length", (F.col("pos") - F.col("hi")).alias("lo"), (F.col("pos") - F.col("lo") + F.col("length")).alias("hi")).alias("span")
+    spans = shared.join(found, ["gram", "context"]).select("key", "mark", span)
     return spans.groupBy("key", "mark").agg(F.collect_set("span").alias("spans"))
 
 
@@ -362,18 +448,23 @@ def _repeats(places: DataFrame) -> bool:
     return not places.groupBy("key", "mark", "pos").count().filter("count > 1").isEmpty()
 
 
-def _cut(raw: bytes, spans: list[dict] | None) -> tuple[bytes, int]:
-    """What is left of the bytes without the spans, and the number of maximal spans."""
-    if not spans:
-        return raw, 0
-    kept, end, count = [], 0, 0
-    for s in sorted((s["lo"], s["hi"]) for s in spans):
-        if s[0] > end or not count:
-            kept.append(raw[end : s[0]])
-            count += 1
-        end = max(end, s[1])
-    kept.append(raw[end:])
-    return b"".join(kept), count
+def _merged(spans: list[dict] | None, length: int) -> list[tuple[int, int]]:
+    """The maximal runs that the spans of this length cover, in order."""
+    out: list[tuple[int, int]] = []
+    for lo, hi in sorted((s["lo"], s["hi"]) for s in spans or () if s["length"] == length):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
+def _cut(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
+    kept, end = [], 0
+    for lo, hi in runs:
+        kept.append(raw[end:lo])
+        end = hi
+    return b"".join([*kept, raw[end:]])
 
 
 def _with_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -387,26 +478,30 @@ def _with_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256.
+    """One row a document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, n_passages.
+
+    ``n_passages``: maximal runs of over PASSAGE_WORDS words, covered by strings of PASSAGE bytes that stand in another
+    document, too.  They may be too short to be removed.
 
     Cases: a null text counts as empty; texts under LENGTH bytes keep all; repeated rows repeat each other, and so
-    lose all windows; rows with one id and different texts are kept apart; an empty table gives no rows; other
-    columns are not read.
+    lose all windows (but are one document to each other's passages); rows with one id and different texts are kept
+    apart; texts of any length are elected in pieces of CHUNK_BYTES; an empty table gives no rows; other columns are
+    not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, removed, count, digest = [], [], [], []
+            rows = []
             for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                raw = text.encode()
-                kept, n = _cut(raw, spans)
-                size.append(len(raw))
-                removed.append(len(raw) - len(kept))
-                count.append(n)
-                digest.append(hashlib.sha256(kept).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(digest, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                raw, runs = text.encode(), _merged(spans, LENGTH)
+                kept = _cut(raw, runs)
+                passages = sum(len(raw[lo:hi].split()) > PASSAGE_WORDS for lo, hi in _merged(spans, PASSAGE))
+                rows.append((len(raw), len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), passages))
+            columns = list(zip(*rows, strict=True)) or [[], [], [], [], []]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages"])
 
-    return map_arrow(_with_spans(docs, id_col, text_col), run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return map_arrow(_with_spans(docs, id_col, text_col), run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -414,7 +509,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [_cut(t.encode(), s)[0] for t, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            kept = [_cut(t.encode(), _merged(s, LENGTH)) for t, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary())], names=["doc_id", "kept"])
 
     return map_arrow(_with_spans(docs, id_col, text_col), run, "doc_id long, kept binary")
