@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from trellis.llm import components, decontam, digest, langid, pieces, pii, quality, queries, simhash, suffixes, tokens, urls
+from trellis.llm import components, decontam, digest, langid, pieces, pii, quality, queries, simhash, suffixes, tokens
 
 WORDS = ["then", "erhe", "thand", "onthsh", "der", "ver", "queres", "la", "in", "of", "ünd", "él"]
 
@@ -282,27 +282,6 @@ def test_language(spark, docs, empty):
     assert np.allclose(np.exp2(-trees.cost.astype(float)).sum(axis=1), 1.0, atol=1e-3)
 
 
-def test_urls(spark):
-    rules = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"), ("block", "a.example.org/"), ("allow", "b.a.example.org/x")]
-    hosts = ["org", "example.org", "EXAMPLE.org", "a.example.org", "b.a.example.org", "xexample.org", "com", "q.com", "net", "", "..org", "example.org:80"]
-    paths = ["", "/", "/es/", "/es", "/en/12", "/fr/x?y#z", "/de/", "/x#/es/"]
-    rows = [(k, f"http://{h}{p}") for k, (h, p) in enumerate((h, p) for h in hosts for p in paths)] + [(1000, None), (1001, "no scheme"), (1002, ""), (1002, "")]
-    table = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("x")).withColumn("rule", F.lit(1))
-    got = sorted((r["page_id"], r["rule"], r["verdict"]) for r in urls.url_filter(table, rules).collect() if True)
-
-    def plain(url):
-        if not url or "://" not in url:
-            return None, "allow"
-        rest = url.split("://", 1)[1]
-        at = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
-        host, path = rest[:at].lower(), rest[at:].split("?")[0].split("#")[0]
-        fits = [(len(r), r, v) for v, r in rules if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith("/" + r.split("/", 1)[1])]
-        return (max(fits)[1], max(fits)[2]) if fits else (None, "allow")
-
-    assert got == sorted(((k, *plain(u)) for k, u in rows), key=lambda x: (x[0], str(x[1])))
-    assert urls.url_filter(table.limit(0), rules).count() == 0
-
-
 def test_pii(spark, docs, empty):
     text = "Mr Smith (Mrs. Anna Lee, Dr. Иван Петров) a.b@mail.example.com A.B@MAIL.example.com 4111 1111 1111 1111 4111-1111-1111-1111 10.20.30.40 +1 (017) 555-7713 078-05-1120 " + "ab12" * 10 + " clean 1234 words"
     rows = [(1, text), (2, "again Mr Smith, 4111111111111111"), (3, "nothing here 12"), (4, None), (5, "")]
