@@ -1,66 +1,95 @@
 """Personal data replaced by keyed surrogates, with DataFrame functions only.
 
 Detected entities: e-mail addresses, secrets (long hexadecimal strings), IPv4 addresses, social security numbers,
-international and national telephone numbers, payment card numbers, IBANs, and names after a form of address.
+international and national telephone numbers, payment card numbers, IBANs, birth dates and document numbers after a
+word that announces them, and names: after a form of address, after a word or closing that a name follows, with a
+known given name, and as "family, given".
+
 A surrogate is a function of a secret key, the entity's type and its canonical form (case and punctuation do not
 matter), so every mention of an entity gets the same one, in any document, without a shuffle of texts:
 
-* numbers go through a keyed Feistel permutation of their digits, so different numbers of one length and type
-  stay different; punctuation and country code stay, and a card's check digit stays as valid as it was;
-* addresses and secrets keep the shape of the original (letters, digits, upper or lower case, length);
-* names keep gender (after the form of address), script (Latin, Cyrillic, Greek) and number of parts.
-
-The collision check runs over the distinct entities of the corpus: a surrogate that equals another's, or a real
-entity, is drawn again with the next attempt until none is left.  Those exceptions, usually none, are joined back
-to the documents that hold them.
+* numbers go through a keyed Feistel permutation of their digits, letters through one that keeps vowels, consonants
+  and script: different entities of one shape stay different.  Punctuation and country code stay, and the check
+  digits of cards and IBANs stay as valid as they were;
+* dates are permuted within their span of 120 years, and written as the mention was;
+* names are replaced part by part, each part the same wherever it stands, so that "Mr John Smith", "Dr Smith" and
+  "Smith, John" stay one person.  A known given name becomes another of its gender and script; other parts keep
+  length, script and last letter.  Forms of address and particles stay.
+
+The collision check runs over the distinct addresses and name parts of the corpus, the kinds where a surrogate can
+equal another's or a real one.  Such a surrogate is drawn again, each time with one syllable more, until none is left:
+longer and longer names never run out.  Those exceptions, usually few, are looked up for the documents that hold them.
+Number surrogates are distinct by construction; one may equal another real number of the corpus, which is itself
+replaced.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
-from trellis.llm.common import doc_texts, materialize
+from trellis.llm.common import discard, doc_texts, materialize
 
 #: Key of the registered query; real use passes its own secret.
 DEMO_KEY = "surrogate-demo-key"
-MAX_ATTEMPTS = 40
-
-MALE = ["Mr", "Herr", "Señor", "Monsieur", "Господин", "Κύριος"]
-FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Señora", "Señorita", "Madame", "Mademoiselle", "Госпожа", "Κυρία"]
-NEUTRAL = ["Dr", "Prof"]
-FORMS = "|".join(sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True))
-FIRST_NAMES = {
-    "latin m": ["Alan", "Bruno", "Carl", "David", "Erik", "Felix", "Georg", "Hugo", "Ivan", "Jonas", "Karim", "Leo"],
-    "latin f": ["Alice", "Bella", "Clara", "Diana", "Emma", "Flora", "Greta", "Hanna", "Irene", "Julia", "Karla", "Lena"],
-    "latin n": ["Alex", "Andrea", "Chris", "Dominique", "Jules", "Kim", "Luca", "Mika", "Noa", "Robin", "Sacha", "Toni"],
-    "cyrillic m": ["Алексей", "Борис", "Виктор", "Денис", "Егор", "Иван"],
-    "cyrillic f": ["Алина", "Вера", "Дарья", "Елена", "Ирина", "Мария"],
-    "cyrillic n": ["Саша", "Женя", "Валя", "Слава", "Никита", "Паша"],
-    "greek m": ["Ανδρέας", "Γιώργος", "Δημήτρης", "Κώστας", "Νίκος", "Πέτρος"],
-    "greek f": ["Άννα", "Ελένη", "Ιωάννα", "Κατερίνα", "Μαρία", "Σοφία"],
-    "greek n": ["Άγγελ", "Αλέξ", "Κρίς", "Ζωή", "Φώτ", "Άρι"],
-}
-SYLLABLES = {
-    "latin": ["ba", "bel", "cor", "da", "den", "dor", "fa", "fen", "gar", "gol", "hal", "her", "ka", "kel", "lan", "lor", "ma", "mer", "mon", "na", "nor", "pa", "pel", "ran", "ros", "sal", "sten", "ta", "tor", "val", "ven", "win"],
-    "cyrillic": ["ба", "бел", "вор", "га", "ден", "до", "за", "ка", "кол", "ла", "лов", "ма", "мир", "но", "пет", "ров"],
-    "greek": ["βα", "γα", "δο", "ζα", "κα", "κο", "λα", "λι", "μα", "νι", "πα", "ρο", "σα", "τα", "το", "φι"],
+
+FORMS_OF_ADDRESS = [
+    "Mr", "Herr", "Señor", "Sr", "Monsieur", "Господин", "Κύριος", "Mrs", "Ms", "Miss", "Frau", "Señora", "Señorita", "Sra", "Madame", "Mme", "Mademoiselle", "Mlle", "Госпожа", "Κυρία", "Dr", "Prof",
+]
+PARTICLES = ["van", "von", "de", "da", "del", "della", "der", "den", "dos", "la", "le", "di", "du", "bin", "al", "ter", "zu"]
+GIVEN_NAMES = {
+    "latin m": ["alan", "alexander", "andrew", "bruno", "carl", "carlos", "charles", "daniel", "david", "edward", "erik", "felix", "fernando", "georg", "george", "hans", "hugo", "ivan", "james", "jean", "john", "jonas", "jorge", "joseph", "juan", "karim", "klaus", "leo", "louis", "luis", "manuel", "mark", "michael", "miguel", "paul", "pedro", "peter", "pierre", "richard", "robert", "stefan", "steven", "thomas", "walter", "william"],
+    "latin f": ["alice", "amélie", "ana", "anna", "barbara", "bella", "camille", "carmen", "clara", "claire", "diana", "elena", "elisabeth", "emily", "emma", "eva", "flora", "greta", "hanna", "heike", "ingrid", "irene", "isabel", "jane", "jennifer", "julia", "karla", "laura", "lena", "linda", "lucía", "margaret", "maria", "marie", "mary", "monika", "nicole", "olga", "patricia", "sabine", "sarah", "sofía", "susan", "ursula"],
+    "latin n": ["alex", "andrea", "chris", "dominique", "jules", "kim", "luca", "mika", "noa", "robin", "sacha", "toni"],
+    "cyrillic m": ["алексей", "борис", "виктор", "владимир", "денис", "дмитрий", "егор", "иван", "михаил", "николай", "павел", "сергей"],
+    "cyrillic f": ["алина", "анна", "вера", "дарья", "екатерина", "елена", "ирина", "мария", "наталья", "ольга", "светлана", "татьяна"],
+    "cyrillic n": ["валя", "женя", "паша", "саша", "слава"],
+    "greek m": ["ανδρέας", "γιάννης", "γιώργος", "δημήτρης", "κώστας", "νίκος", "παύλος", "πέτρος"],
+    "greek f": ["άννα", "βασιλική", "ελένη", "ιωάννα", "κατερίνα", "μαρία", "σοφία"],
 }
+#: What a letter may become: one of its own alphabet.  Other characters stay.
+ALPHABETS = [
+    "aeiou", "bcdfghjklmnpqrstvwxyz", "0123456789", "áàâäãåæéèêëíìîïóòôöõøúùûü", "çčćđłñńřśšßžźż",
+    "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщъь", "αεηιουω", "βγδζθκλμνξπρσςτφχψ", "άέήίόύώ",
+]
+SYLLABLES = {"latin": ("bdfgklmnprstvz", "aeiou"), "cyrillic": ("бвгдзклмнпрст", "аеиоу"), "greek": ("βγδζκλμνπρστφ", "αειου")}
+#: Words before a name: with a colon, without, and closings of letters.
+LABELS = "name|full name|contact|contact person|author|from|to|cc|attn|by|signed|sender|recipient|patient|customer|client|employee|kontakt|absender|empfänger|autor|kunde|nom|nombre|contacto|para|auteur|имя|контакт|автор|όνομα"
+LEADS = "contact|contacts?|signed|signed by|written by|posted by|reported by|dear|lieber|liebe|cher|chère|querido|querida|estimado|estimada|kontakt|contacto"
+CLOSINGS = "regards|sincerely|yours truly|faithfully|cheers|many thanks|freundlichen grüßen|viele grüße|beste grüße|cordialement|bien à vous|saludos|saludos cordiales|atentamente|с уважением|με εκτίμηση"
+NO_NAMES = "Sir|Madam|All|Team|Hiring|Customer|Friends|Colleagues|Everyone|Support|Sales|The|Reader|Editor|Us"
+BIRTH = "born|born on|date of birth|birth date|birthday|dob|geboren|geboren am|geburtsdatum|né le|née le|date de naissance|nacido el|nacida el|fecha de nacimiento|дата рождения"
+PAPERS = "passport|passport no|passport no\\.|passport number|reisepass|reisepassnummer|personalausweis|ausweisnummer|pasaporte|passeport|dni|id card|id no|id number|driving licence|driver's license|licence no|license no|führerschein|permis de conduire|паспорт"
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,200}+@(?:[A-Za-z0-9-]{1,63}+\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])"
 SECRET = r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}+|[0-9A-F]{32,128}+)(?![A-Za-z0-9])"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IPV4 = rf"(?<![0-9A-Za-z.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9A-Za-z]|\.[0-9])"
 SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
-PHONE = r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9A-Za-z])"
+BIRTH_DATE = rf"(?=[0-9])(?<=(?i:{BIRTH})[: ]{{1,3}})(?:[0-9]{{1,2}}([./-])[0-9]{{1,2}}\1[0-9]{{4}}|[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})(?![0-9A-Za-z])"
+DOCUMENT = rf"(?=[A-Z0-9])(?<=(?i:{PAPERS})[:# ]{{1,3}})(?=(?:[A-Z-]*[0-9]){{4}})[A-Z0-9][A-Z0-9-]{{4,18}}+(?![0-9A-Za-z])"
+PHONE = (
+    r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}"
+    r"|0[0-9]{2,4}[ /-][0-9]{4,8}(?:[ -][0-9]{2,6}){0,2}|0[1-9](?:[ .-][0-9]{2}){4})(?![0-9A-Za-z])"
+)
 CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}+|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7})(?![0-9A-Za-z])"
 IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}+|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![0-9A-Za-z])"
-NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{FORMS})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)*+"
+_FORMS = "|".join(sorted(FORMS_OF_ADDRESS, key=len, reverse=True))
+_GIVEN = "|".join(sorted({n.capitalize() for names in GIVEN_NAMES.values() for n in names}, key=lambda n: (-len(n), n)))
+_END = r"(?![\p{L}\p{N}'’-])"
+_PART = r"\p{Lu}(?:[\p{L}'’-]+|\.)"
+_MORE = rf"(?: (?:(?:{'|'.join(PARTICLES)}) ){{0,2}}{_PART})"
+NAME = (
+    rf"(?<![\p{{L}}\p{{N}}])(?=\p{{Lu}})(?:(?:{_FORMS})\.? {_PART}{_MORE}*+|(?:{_GIVEN}){_END}{_MORE}{{1,3}}+|(?<=(?i:or|and|&|;|:|contact|cc|attn) ){_PART}, (?:{_GIVEN}){_END}"
+    rf"|(?<=(?<![\p{{L}}\p{{N}}])(?:(?i:{LABELS}): ?|(?i:{LEADS}) ))(?!(?:{NO_NAMES}){_END}){_PART}{_MORE}{{1,3}}+|(?<=(?i:{CLOSINGS})[,.!]{{0,1}}\s{{1,3}})(?!(?:{NO_NAMES}){_END}){_PART}{_MORE}{{0,3}}+)"
+)
 #: In this order at each place of the text.
-ENTITY = "|".join([EMAIL, SECRET, IPV4, SSN, PHONE, CARD, IBAN, NAME])
-#: What every entity has somewhere; texts without it are not searched.
-HINT = rf"@|[0-9a-f]{{32}}|[0-9A-F]{{32}}|[0-9][0-9. ()-]{{5}}|[A-Z]{{2}}[0-9]{{2}}|\+[0-9]|(?:{FORMS})\.? \p{{Lu}}"
+ENTITY = "|".join([EMAIL, SECRET, IPV4, SSN, BIRTH_DATE, DOCUMENT, PHONE, CARD, IBAN, NAME])
+#: What stands around each entity while a text is taken apart; texts that have it themselves are taken apart otherwise.
+FENCE = "\u0001"
 
 
 def entity_type(e: Column) -> Column:
@@ -69,58 +98,102 @@ def entity_type(e: Column) -> Column:
         .when(e.rlike(r"^(?:[0-9a-f]{32,}|[0-9A-F]{32,})$"), "secret")
         .when(e.rlike(r"^(?:[0-9]{1,3}\.){3}[0-9]{1,3}$"), "ip")
         .when(e.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
-        .when(e.rlike(r"^(?:[+(]|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}$)"), "phone")
-        .when(e.rlike(r"^[0-9]"), "card")
-        .when(e.rlike(r"^[A-Z]{2}[0-9]{2}"), "iban")
+        .when(e.rlike(r"^(?:[0-9]{1,2}([./-])[0-9]{1,2}\1[0-9]{4}|[0-9]{4}-[0-9]{2}-[0-9]{2})$"), "date")
+        .when(e.rlike(r"^(?:[+(]|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}$|0[0-9]+[ ./-][0-9 .-]+$)"), "phone")
+        .when(e.rlike(r"^[0-9][0-9 -]*$"), "card")
+        .when(e.rlike(r"^[A-Z]{2}[0-9]{2}[A-Z0-9 ]{11,}$"), "iban")
+        .when(e.rlike(r"^[A-Z0-9-]*[0-9][A-Z0-9-]*$"), "document")
         .otherwise("name")
     )
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _date_fields(e: Column) -> Column:
+    """(y, m, d) of a numeric date: the year is the long field, and a month over 12 is a day."""
+    f = F.split(e, "[./-]")
+    first = F.length(f[0]) == 4
+    swapped = ~first & (f[1].cast("int") > 12)
+    return F.struct(F.when(first, f[0]).otherwise(f[2]).alias("y"), F.when(swapped, f[0]).otherwise(f[1]).alias("m"), F.when(first, f[2]).when(swapped, f[1]).otherwise(f[0]).alias("d"))
+
+
 def canonical(e: Column, kind: Column) -> Column:
-    """One form for all mentions: lower case addresses, bare digits, names with the gender before them."""
+    """One form for all mentions: lower case addresses, bare digits, ISO dates.  Names are told apart by their parts."""
     digits = F.regexp_replace(e, "[^0-9]", "")
     country = F.when(e.startswith("+"), F.concat(F.regexp_extract(e, r"^\+([0-9]{1,3})[ .(-]", 1), F.lit("+"))).otherwise("+")
     local = F.regexp_replace(F.regexp_replace(e, r"^\+[0-9]{1,3}(?=[ .(-])", ""), "[^0-9]", "")
-    gender = F.when(e.rlike(rf"^(?:{'|'.join(MALE)})(?:\.| )"), "m").when(e.rlike(rf"^(?:{'|'.join(FEMALE)})(?:\.| )"), "f").otherwise("n")
-    person = F.regexp_replace(e, rf"^(?:{FORMS})\.? ", "")
+    date = _let(_date_fields(e), lambda x: F.concat_ws("-", x["y"], F.lpad(x["m"], 2, "0"), F.lpad(x["d"], 2, "0")))
     return (
         F.when(kind.isin("email", "secret"), F.lower(e))
         .when(kind == "phone", F.concat(country, local))
-        .when(kind == "iban", F.regexp_replace(e, " ", ""))
-        .when(kind == "name", F.concat(gender, F.lit("|"), person))
-        .when(kind == "ip", e)
+        .when(kind.isin("iban", "document"), F.regexp_replace(e, "[ -]", ""))
+        .when(kind == "date", F.when(date.try_cast("date").isNotNull(), date).otherwise(digits))
+        .when(kind.isin("ip", "name"), e)
         .otherwise(digits)
     )
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+# --- keyed permutations ---------------------------------------------------------------------------------------
+
+
+def _hash(key: str, *parts, bits: int = 256) -> Column:
+    return F.sha2(F.concat_ws("\u0001", F.lit(key), *[p if isinstance(p, Column) else F.lit(str(p)) for p in parts]), bits)
 
 
 def _keyed(key: str, *parts) -> Column:
     """A keyed 60-bit number."""
-    text = F.concat_ws("\u0001", F.lit(key), *[p if isinstance(p, Column) else F.lit(str(p)) for p in parts])
-    return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long")
+    return F.conv(F.substring(_hash(key, *parts), 1, 15), 16, 10).cast("long")
 
 
-def _permute(digits: Column, tweak: Column, key: str, attempt: Column) -> Column:
-    """A keyed permutation of all digit strings of this length (at most 19): a Feistel network of two halves."""
+def _permute_digits(digits: Column, key: str, *tweak) -> Column:
+    """A keyed permutation of all digit strings of this length (at most 18): a Feistel network of two halves."""
     n = F.length(digits)
     a, b = F.floor(n / 2).cast("int"), (n - F.floor(n / 2)).cast("int")
     size = lambda k: F.pow(F.lit(10.0), k).cast("long")
     left = F.coalesce(F.substring(digits, F.lit(1), a).try_cast("long"), F.lit(0))
     right = F.coalesce(F.substring(digits, a + 1, b).try_cast("long"), F.lit(0))
-    state = F.struct(left.alias("l"), right.alias("r"))
 
     def turn(s: Column, k: Column) -> Column:
-        l = F.pmod(s["l"] + F.pmod(_keyed(key, tweak, n.cast("string"), attempt.cast("string"), k.cast("string"), F.lit("l"), s["r"].cast("string")), size(a)), size(a))  # noqa: E741
-        r = F.pmod(s["r"] + F.pmod(_keyed(key, tweak, n.cast("string"), attempt.cast("string"), k.cast("string"), F.lit("r"), l.cast("string")), size(b)), size(b))
-        return F.struct(l.alias("l"), r.alias("r"))
+        draw = lambda side, other: _keyed(key, *tweak, n.cast("string"), k.cast("string"), side, other.cast("string"))
+        l = F.pmod(s["l"] + F.pmod(draw("l", s["r"]), size(a)), size(a))  # noqa: E741
+        return _let(l, lambda v: F.struct(v.alias("l"), F.pmod(s["r"] + F.pmod(draw("r", v), size(b)), size(b)).alias("r")))
 
-    done = F.aggregate(F.sequence(F.lit(1), F.lit(3)), state, turn, lambda s: F.concat(F.when(a > 0, F.lpad(s["l"].cast("string"), 10, "0")).otherwise(""), F.lpad(s["r"].cast("string"), 10, "0")))
+    pad = lambda v: F.lpad(v.cast("string"), 10, "0")
+    done = F.aggregate(F.sequence(F.lit(1), F.lit(3)), F.struct(left.alias("l"), right.alias("r")), turn, lambda s: F.concat(pad(s["l"]), pad(s["r"])))
     # Each half was padded to ten digits; keep the last a and b of them.
-    return _let(done, lambda d: F.when(a > 0, F.concat(F.substring(d, 11 - a, a), F.substring(d, 21 - b, b))).otherwise(F.substring(d, 11 - b, b)))
+    return _let(done, lambda d: F.concat(F.when(a > 0, F.substring(d, 11 - a, a)).otherwise(""), F.substring(d, 21 - b, b)))
+
+
+def _permute_long(digits: Column, key: str, *tweak) -> Column:
+    """As ``_permute_digits``, for any length: blocks of 16 digits, each tweaked by the ones before it."""
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.length(digits) - 1) / 16).cast("int")), lambda k: F.substring(digits, k * 16 + 1, F.lit(16)))
+    earlier = lambda k: F.substring(digits, F.lit(1), k * 16)
+    return F.when(F.length(digits) == 0, "").otherwise(F.array_join(F.transform(blocks, lambda x, k: _permute_digits(x, key, *tweak, k.cast("string"), earlier(k))), ""))
+
+
+def _turn_letter(c: Column, x: Column) -> Column:
+    """The letter x places on in its alphabet."""
+    on = lambda letters: F.substring(F.lit(letters), ((F.position(c, F.lit(letters)) - 1 + x) % len(letters) + 1).cast("int"), F.lit(1))
+    return F.coalesce(*[F.when(F.position(c, F.lit(letters)) > 0, on(letters)) for letters in ALPHABETS], c)
+
+
+def _permute_text(text: Column, key: str, *tweak) -> Column:
+    """A keyed permutation of the lower-case texts of one shape: each letter stays in its alphabet (Feistel, two halves)."""
+    chars = F.split(text, "")
+    half = F.floor(F.size(chars) / 2).cast("int")
+    start = F.struct(F.slice(chars, F.lit(1), half).alias("l"), F.slice(chars, half + 1, F.size(chars)).alias("r"))
+
+    def shift(part: Column, other: Column, k: Column, side: str) -> Column:
+        stream = _hash(key, *tweak, k.cast("string"), side, F.array_join(other, ""), bits=512)
+        return _let(stream, lambda s: F.transform(part, lambda c, i: _turn_letter(c, F.conv(F.substring(s, (i % 42) * 3 + 1, F.lit(3)), 16, 10).cast("int"))))
+
+    def turn(s: Column, k: Column) -> Column:
+        return _let(shift(s["l"], s["r"], k, "l"), lambda l: F.struct(l.alias("l"), shift(s["r"], l, k, "r").alias("r")))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(3)), start, turn, lambda s: F.array_join(F.concat(s["l"], s["r"]), ""))
 
 
 def _luhn(digits: Column) -> Column:
@@ -129,105 +202,171 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda s, x: s + x) % 10
 
 
-def _shape(text: Column, key: str, *parts) -> Column:
-    """Each letter by a keyed letter and each digit by a keyed digit; all else stays.  Lower case in and out."""
-    stream = F.sha2(F.concat_ws("\u0001", F.lit(key), *parts), 512)
+def _mod97(text: Column) -> Column:
+    """The remainder by 97 of a text of digits and capital letters, each letter two digits (A: 10)."""
+    step = lambda r, c: (F.when(c.rlike("^[0-9]$"), r * 10 + c.cast("int")).otherwise(r * 100 + F.ascii(c) - 55) % 97).cast("int")
+    return F.aggregate(F.split(text, ""), F.lit(0), step)
+
 
-    def one(c: Column, i: Column) -> Column:
-        x = F.conv(F.substring(stream, (i % 40) * 3 + 1, F.lit(3)), 16, 10).cast("int")
-        letter = F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), x % 26 + 1, F.lit(1))
-        return F.when(c.rlike("^[a-z]$"), letter).when(c.rlike("^[0-9]$"), (x % 10).cast("string")).otherwise(c)
+def _given_names(key: str) -> dict[str, str]:
+    """Each known given name to the next of its gender and script, in keyed order: no name stays."""
+    out: dict[str, str] = {}
+    for group, names in GIVEN_NAMES.items():
+        order = sorted((n for n in names if n not in out), key=lambda n: hashlib.sha256(f"{key}\u0001{group}\u0001{n}".encode()).digest())
+        out |= dict(zip(order, order[1:] + order[:1], strict=True))
+    return out
 
-    return F.array_join(F.transform(F.split(text, ""), one), "")
 
+def _syllables(form: Column, key: str, attempt: Column) -> Column:
+    """``attempt`` syllables in the script of the form."""
+    letter = lambda letters, *parts: F.substring(F.lit(letters), (_keyed(key, *parts) % len(letters) + 1).cast("int"), F.lit(1))
+    one = lambda k, script: F.concat(*[letter(s, "syllable", n, form, attempt.cast("string"), k.cast("string")) for n, s in enumerate(SYLLABLES[script])])
+    words = lambda script: F.array_join(F.transform(F.sequence(F.lit(1), attempt), lambda k: one(k, script)), "")
+    several = F.when(form.rlike(r"\p{IsCyrillic}"), words("cyrillic")).when(form.rlike(r"\p{IsGreek}"), words("greek")).otherwise(words("latin"))
+    return F.when(attempt > 0, several).otherwise("")
 
-def _pick(options: list[str], number: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(o) for o in options]), (F.pmod(number, F.lit(len(options))) + 1).cast("int"))
 
+def name_part(form: Column, key: str, attempt: Column) -> Column:
+    """The surrogate of a lower-case name part."""
+    known = _given_names(key)
+    table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
 
-def surrogate_form(kind: Column, form: Column, key: str, attempt: Column) -> Column:
-    """The canonical form of the surrogate of a canonical form."""
-    again = attempt.cast("string")
+    def permuted(text: Column) -> Column:
+        # Parts of three letters or more keep the last one, which often tells gender.
+        n = F.length(text)
+        keep = F.when(n > 2, 1).otherwise(0)
+        return F.concat(_permute_text(F.substring(text, F.lit(1), n - keep), key, "name", F.substring(text, n - keep + 1, keep)), F.substring(text, n - keep + 1, keep))
+
+    # A result that is itself a known given name goes round once more, which keeps different parts different.
+    rounds = F.aggregate(F.sequence(F.lit(1), F.lit(3)), form, lambda s, k: F.when((k == 1) | s.isin(list(known)), permuted(s)).otherwise(s))
+    return F.concat(F.coalesce(F.try_element_at(table, form), rounds), _syllables(form, key, attempt))
+
+
+def email(form: Column, key: str, attempt: Column) -> Column:
+    """The surrogate of a lower-case address: addresses of one domain stay together, the last label stays."""
     local, domain = F.substring_index(form, "@", 1), F.substring_index(form, "@", -1)
     end = F.substring_index(domain, ".", -1)
     host = F.substring(domain, F.lit(1), F.length(domain) - F.length(end) - 1)
-    # A short local part leaves little room for distinct surrogates: it is made longer.
-    more = F.when(F.length(F.regexp_replace(local, "[^a-z0-9]", "")) < 10, F.lit("aaaaaa")).otherwise("")
-    email = F.concat(_shape(F.concat(local, more), key, F.lit("email"), form, again), F.lit("@"), _shape(host, key, F.lit("domain"), domain), F.lit("."), end)
-    secret = F.substring(F.sha2(F.concat_ws("\u0001", F.lit(key), F.lit("secret"), form, again), 512), F.lit(1), F.length(form))
+    return F.concat(_permute_text(local, key, "email", domain), _syllables(F.concat(F.lit("a"), form), key, attempt), F.lit("@"), _permute_text(host, key, "domain", end), F.lit("."), end)
+
+
+#: Days of the span that dates are permuted in (a prime, about 120 years), and where the first one begins.
+DAYS = 43_801
+FIRST_DAY = "1900-01-01"
+
+
+def _date(form: Column, key: str) -> Column:
+    seed = int(hashlib.sha256(f"{key}\u0001date".encode()).hexdigest(), 16)
+    factor, offset = seed % (DAYS - 2) + 2, seed // DAYS % DAYS
+    day = F.datediff(form.try_cast("date"), F.lit(FIRST_DAY).cast("date"))
+    span = F.floor(day / DAYS)
+    new = F.date_add(F.lit(FIRST_DAY).cast("date"), (span * DAYS + F.pmod(F.pmod(day, F.lit(DAYS)).cast("long") * factor + offset, F.lit(DAYS))).cast("int"))
+    return F.when(form.contains("-"), F.date_format(new, "yyyy-MM-dd")).otherwise(_permute_long(form, key, "date"))
+
+
+def _mixed(text: Column, key: str, kind: str, tweak: Column) -> Column:
+    """Digits permuted by what the letters are, each letter moved on by its place: different texts stay different."""
+    shape = F.regexp_replace(text, "[0-9]", "9")
+    new_digits = _permute_long(F.regexp_replace(text, "[^0-9]", ""), key, kind, shape, tweak)
+    moved = lambda c, i: F.upper(F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), ((F.ascii(c) - 65 + _keyed(key, kind, "letter", i.cast("string")) % 25 + 1) % 26 + 1).cast("int"), F.lit(1)))
+    letters = F.array_join(F.transform(F.split(text, ""), lambda c, i: F.when(c.rlike("^[A-Z]$"), moved(c, i)).otherwise(c)), "")
+    return _filled(letters, new_digits)
+
+
+def _filled(form: Column, digits: Column) -> Column:
+    """``form`` with its digits replaced, in order."""
+    step = lambda s, c: F.when(c.rlike("^[0-9]$"), F.struct(F.concat(s["out"], F.substring(digits, s["i"], F.lit(1))).alias("out"), (s["i"] + 1).alias("i"))).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["i"].alias("i")))
+    return F.aggregate(F.split(form, ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("i")), step, lambda s: s["out"])
+
+
+def number(kind: Column, form: Column, key: str) -> Column:
+    """The canonical form of the surrogate of every kind but names and addresses."""
+    secret = F.substring(_hash(key, "secret", form, bits=512), F.lit(1), F.length(form))
     octets = F.split(form, r"\.")
-    number = lambda i, j: octets[i].cast("long") * 256 + octets[j].cast("long")
+    whole = F.conv(F.array_join(F.transform(octets, lambda o: F.lpad(F.hex(o.cast("long")), 2, "0")), ""), 16, 10).cast("long")
 
     def ip_turn(s: Column, k: Column) -> Column:
-        l = F.pmod(s["l"] + _keyed(key, "ip", again, k.cast("string"), F.lit("l"), s["r"].cast("string")), F.lit(65536))  # noqa: E741
-        r = F.pmod(s["r"] + _keyed(key, "ip", again, k.cast("string"), F.lit("r"), l.cast("string")), F.lit(65536))
-        return F.struct(l.alias("l"), r.alias("r"))
+        draw = lambda side, other: _keyed(key, "ip", k.cast("string"), side, other.cast("string")) % 65536
+        return _let((s["l"] + draw("l", s["r"])) % 65536, lambda l: F.struct(l.alias("l"), ((s["r"] + draw("r", l)) % 65536).alias("r")))
 
-    ip = F.aggregate(
-        F.sequence(F.lit(1), F.lit(3)), F.struct(number(0, 1).alias("l"), number(2, 3).alias("r")), ip_turn,
-        lambda s: F.concat_ws(".", F.floor(s["l"] / 256).cast("string"), (s["l"] % 256).cast("string"), F.floor(s["r"] / 256).cast("string"), (s["r"] % 256).cast("string")),
-    )
+    halves = _let(whole, lambda w: F.struct(F.floor(w / 65536).cast("long").alias("l"), (w % 65536).alias("r")))
+    dotted = lambda s: F.concat_ws(".", *[x.cast("string") for v in (s["l"], s["r"]) for x in (F.floor(v / 256), v % 256)])
+    ip = F.aggregate(F.sequence(F.lit(1), F.lit(3)), halves, ip_turn, dotted)
     country, rest = F.substring_index(form, "+", 1), F.substring_index(form, "+", -1)
-    phone = F.concat(country, F.lit("+"), _permute(rest, F.concat(F.lit("phone"), country), key, attempt))
-    # The last digit of a card keeps its distance from the valid check digit.
+    phone = F.concat(country, F.lit("+"), _permute_long(rest, key, "phone", country))
+    # The last digit of a card, and the two check digits of an IBAN, keep their distance from the valid ones.
     body, check = F.substring(form, F.lit(1), F.length(form) - 1), F.substring(form, -1, 1)
-    new_body = _permute(body, F.lit("card"), key, attempt)
     off = F.pmod(check.cast("int") + _luhn(F.concat(body, F.lit("0"))), F.lit(10))
-    card = _let(new_body, lambda b: F.concat(b, F.pmod(off - _luhn(F.concat(b, F.lit("0"))), F.lit(10)).cast("string")))
-    ssn = _permute(form, F.lit("ssn"), key, attempt)
-    iban = F.concat(F.substring(form, 1, 2), F.upper(_shape(F.lower(F.substring(form, F.lit(3), F.length(form))), key, F.lit("iban"), form, again)))
-    gender, person = F.substring(form, 1, 1), F.substring(form, F.lit(3), F.length(form))
-    script = F.when(person.rlike(r"\p{IsCyrillic}"), "cyrillic").when(person.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
-    draw = lambda what: _keyed(key, what, form, again)
-    first = F.coalesce(*[F.when((script == k.split(" ")[0]) & (gender == k.split(" ")[1]), _pick(v, draw("first"))) for k, v in FIRST_NAMES.items()])
-    last = lambda nth: F.initcap(F.coalesce(*[F.when(script == s, F.concat(*[_pick(v, draw(f"last{nth}{k}")) for k in range(4)])) for s, v in SYLLABLES.items()]))
-    size = F.size(F.split(person, " "))
-    between = lambda nth: F.initcap(F.coalesce(*[F.when(script == s, F.concat(*[_pick(v, _keyed(key, f"between{k}", nth.cast("string"), form, again)) for k in range(4)])) for s, v in SYLLABLES.items()]))
-    middle = F.when(size > 3, F.array_join(F.transform(F.sequence(F.lit(2), size - 2), between), " "))
-    name = F.concat(gender, F.lit("|"), F.when(size == 1, last(0)).when(size == 2, F.concat_ws(" ", first, last(0))).otherwise(F.concat_ws(" ", first, middle, last(1), last(0))))
+    card = _let(_permute_long(body, key, "card"), lambda b: F.concat(b, F.pmod(off - _luhn(F.concat(b, F.lit("0"))), F.lit(10)).cast("string")))
+    land, account = F.substring(form, 1, 2), F.substring(form, F.lit(5), F.length(form))
+    valid = lambda a: 98 - _mod97(F.concat(a, land, F.lit("00")))
+    iban = _let(_mixed(account, key, "iban", land), lambda a: F.concat(land, F.lpad(F.pmod(valid(a) + F.substring(form, 3, 2).cast("int") - valid(account), F.lit(100)).cast("string"), 2, "0"), a))
     return (
-        F.when(kind == "email", email).when(kind == "secret", secret).when(kind == "ip", ip).when(kind == "phone", phone)
-        .when(kind == "card", card).when(kind == "ssn", ssn).when(kind == "iban", iban).otherwise(name)
+        F.when(kind == "secret", secret).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", card).when(kind == "ssn", _permute_digits(form, key, "ssn"))
+        .when(kind == "iban", iban).when(kind == "date", _date(form, key)).when(kind == "document", _mixed(form, key, "document", F.lit("")))
     )
 
 
-def in_format(e: Column, kind: Column, form: Column) -> Column:
-    """The surrogate's canonical form written as the mention ``e`` was: punctuation, spaces, case."""
+# --- mentions -------------------------------------------------------------------------------------------------
+
+
+def _is_part(token: Column, place: Column) -> Column:
+    """Whether a word of a name mention is to be replaced: not its form of address, not a particle."""
+    bare = F.regexp_replace(token, "[.,]$", "")
+    return ~(((place == 0) & bare.isin(FORMS_OF_ADDRESS)) | token.isin(PARTICLES))
+
+
+def _part_form(token: Column) -> Column:
+    return F.lower(F.regexp_replace(token, "[.,]$", ""))
+
+
+def _recased(old: Column, new: Column) -> Column:
+    """``new`` with capitals where ``old`` has them; what is longer is as the last letter of ``old``."""
+    capital = lambda i: F.substring(old, F.least(i + 1, F.length(old)), F.lit(1)).rlike(r"\p{Lu}")
+    return F.array_join(F.transform(F.split(new, ""), lambda c, i: F.when(capital(i) & ((i < F.length(old)) | (F.upper(old) == old) & (F.length(old) > 1)), F.upper(c)).otherwise(c)), "")
+
+
+def _written(e: Column, kind: Column, form: Column) -> Column:
+    """The surrogate's canonical form written as the mention ``e`` was: punctuation, spaces, case, order of a date."""
     bare = F.when(kind == "phone", F.substring_index(form, "+", -1)).otherwise(form)
     start = F.when(kind == "phone", F.regexp_extract(e, r"^(\+[0-9]{1,3}(?=[ .(-])|)", 1)).otherwise("")
     body = F.substring(e, F.length(start) + 1, F.length(e))
-    keep = F.when(kind == "iban", body.isNotNull())
-    filled = F.aggregate(
-        F.split(body, ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("i")),
-        lambda s, c: F.when(c.rlike("^[0-9]$") | (keep & c.rlike("^[A-Z]$")), F.struct(F.concat(s["out"], F.substring(bare, s["i"], F.lit(1))).alias("out"), (s["i"] + 1).alias("i"))).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["i"].alias("i"))),
-        lambda s: s["out"],
-    )
-    upper = F.upper(e) == e
+    both = kind.isin("iban", "document")
+    step = lambda s, c: F.when(c.rlike("^[0-9]$") | (both & c.rlike("^[A-Z]$")), F.struct(F.concat(s["out"], F.substring(bare, s["i"], F.lit(1))).alias("out"), (s["i"] + 1).alias("i"))).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["i"].alias("i")))
+    filled = F.aggregate(F.split(body, ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("i")), step, lambda s: s["out"])
+    mark, old = F.regexp_extract(e, "([./-])", 1), F.split(e, "[./-]")
+    as_long = lambda field, like: F.when(F.length(like) == 1, field.cast("int").cast("string")).otherwise(field)
+    new = F.split(form, "-")
+    first, second = F.when(old[1].cast("int") > 12, new[1]).otherwise(new[2]), F.when(old[1].cast("int") > 12, new[2]).otherwise(new[1])
+    date = F.when(~form.contains("-"), filled).when(F.length(old[0]) == 4, form).otherwise(F.concat(as_long(first, old[0]), mark, as_long(second, old[1]), mark, new[0]))
     return (
-        F.when(kind.isin("email", "secret"), F.when(upper, F.upper(form)).otherwise(form))
-        .when(kind == "ip", form)
-        .when(kind == "name", F.concat(F.regexp_extract(e, rf"^((?:{FORMS})\.? )", 1), F.substring(form, F.lit(3), F.length(form))))
-        .otherwise(F.concat(start, filled))
-    )
+        F.when(kind.isin("email", "secret"), F.when(F.upper(e) == e, F.upper(form)).otherwise(form))
+        .when(kind == "ip", form).when(kind == "date", date).otherwise(F.concat(start, filled))
+    )
 
 
-def _entities(text: Column) -> Column:
-    return F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+def _apart(text: Column) -> Column:
+    """The text's pieces: what stands between entities (even places) and the entities (odd places)."""
+    fenced = F.split(F.regexp_replace(text, ENTITY, f"{FENCE}$0{FENCE}"), FENCE, -1)
+    between, entities = F.split(text, ENTITY, -1), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
+    other = F.slice(F.flatten(F.zip_with(between, entities, lambda b, e: F.array(b, F.coalesce(e, F.lit(""))))), F.lit(1), 2 * F.size(between) - 1)
+    return F.when(text.contains(FENCE), other).otherwise(fenced)
 
 
-def _forms(entities: Column) -> Column:
-    """(mention, kind, form) of each entity; one step after another, so that nothing is computed twice."""
-    kinds = F.transform(entities, lambda e: F.struct(e.alias("mention"), entity_type(e).alias("kind")))
-    return F.transform(kinds, lambda x: F.struct(x["mention"].alias("mention"), x["kind"].alias("kind"), canonical(x["mention"], x["kind"]).alias("form")))
+def _drawn(kind: Column, form: Column, key: str, attempt: Column) -> Column:
+    return F.when(kind == "email", email(form, key, attempt)).otherwise(name_part(form, key, attempt))
 
 
 def exceptions(texts: DataFrame, key: str) -> DataFrame | None:
-    """Entities whose first surrogate collides: (kind, form, surrogate) with a later attempt's; None if there are none."""
-    found = texts.select(F.explode(_forms(_entities(F.col("text")))).alias("e")).select("e.kind", "e.form").distinct()
-    draw = lambda df: df.withColumn("surrogate", surrogate_form(F.col("kind"), F.col("form"), key, F.col("attempt")))
-    table = materialize(draw(found.withColumn("attempt", F.lit(0))), "entities")
+    """Addresses and name parts whose first surrogate is taken: (kind, form, surrogate); None if there are none."""
+    entities = texts.select(F.explode(F.filter(_apart(F.col("text")), lambda _, i: i % 2 == 1)).alias("e")).select("e", entity_type(F.col("e")).alias("kind")).filter("kind in ('email', 'name')")
+    parts = F.transform(F.filter(F.split("e", " "), _is_part), _part_form)
+    found = entities.select("kind", F.explode(F.when(F.col("kind") == "email", F.array(F.lower("e"))).otherwise(parts)).alias("form")).distinct()
+    draw = lambda df: df.withColumn("surrogate", _drawn(F.col("kind"), F.col("form"), key, F.col("attempt")))
+    table = materialize(draw(materialize(found, "found").withColumn("attempt", F.lit(0))), "entities")
     real = table.select(F.col("kind").alias("k"), F.col("form").alias("f"))
-    for _ in range(MAX_ATTEMPTS):
+    real = materialize(real, "real")
+    while True:
         taken = table.join(real, (F.col("kind") == F.col("k")) & (F.col("surrogate") == F.col("f")), "left_semi").select("kind", "form")
         shared = table.groupBy("kind", "surrogate").agg(F.count("*").alias("n"), F.min(F.struct("attempt", "form")).alias("first")).filter("n > 1")
         later = table.join(shared, ["kind", "surrogate"]).filter(F.col("form") != F.col("first.form")).select("kind", "form")
@@ -235,9 +374,9 @@ def exceptions(texts: DataFrame, key: str) -> DataFrame | None:
         if bad.isEmpty():
             break
         again = draw(table.join(bad, ["kind", "form"], "left_semi").withColumn("attempt", F.col("attempt") + 1).drop("surrogate"))
-        table = materialize(table.join(bad, ["kind", "form"], "left_anti").unionByName(again), "entities")
-    else:
-        raise RuntimeError("no distinct surrogates found: an entity type has too little room")
+        after = materialize(table.join(bad, ["kind", "form"], "left_anti").unionByName(again), "entities")
+        discard(table, bad)
+        table = after
     changed = table.filter("attempt > 0").select("kind", "form", "surrogate")
     return None if changed.isEmpty() else changed
 
@@ -246,33 +385,40 @@ def replace_pii(docs: DataFrame, key: str = DEMO_KEY, text_col: str = "text", co
     """``docs`` with every entity of the text replaced by its surrogate; all other columns as they are.
 
     ``count_col``: a further column with the number of entities.  Cases: a null text stays null and an empty one
-    empty; a text without an entity stays the same; repeated rows and mentions get the same surrogates; an empty
-    table gives no rows; other columns may have any name but those that start with ``__``.
+    empty; a text without an entity stays the same, however long; repeated rows and mentions get the same surrogates;
+    an empty table gives no rows; other columns may have any name but those that start with ``__``.
     """
     text = F.col(text_col)
     changed = exceptions(docs.select(text.alias("text")).filter("text is not null"), key)
-    marked = docs.withColumn("__entities", _entities(text))
-    override = F.lit(None).cast("map<string,string>")
+    marked = docs.withColumn("__pieces", _apart(text))
+    kind_form = lambda kind, form: F.concat_ws(" ", kind, form)
+    override = None
     if changed is not None:
-        # Only texts that hold an exception take part; they are found by their hash and joined back to it.
-        marked = marked.withColumn("__hash", F.xxhash64(text, F.length(text)))
-        held = marked.filter(F.size("__entities") > 0).select("__hash", F.explode(_forms(F.col("__entities"))).alias("e")).select("__hash", "e.kind", "e.form").distinct()
-        maps = held.join(changed, ["kind", "form"]).groupBy("__hash").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(" ", "kind", "form"), "surrogate"))).alias("__map"))
-        marked = marked.join(maps, "__hash", "left")
+        # Only texts that hold an exception have a row in the map table, a written one: Spark broadcasts it while it is small.
+        held = marked.select(F.xxhash64(text, F.length(text)).alias("__hash"), F.explode(F.filter("__pieces", lambda _, i: i % 2 == 1)).alias("e")).select("__hash", "e", entity_type(F.col("e")).alias("kind"))
+        parts = F.transform(F.filter(F.split("e", " "), _is_part), _part_form)
+        forms = held.filter("kind in ('email', 'name')").select("__hash", "kind", F.explode(F.when(F.col("kind") == "email", F.array(F.lower("e"))).otherwise(parts)).alias("form")).distinct()
+        maps = forms.join(changed, ["kind", "form"]).groupBy("__hash").agg(F.map_from_entries(F.collect_list(F.struct(kind_form(F.col("kind"), F.col("form")), "surrogate"))).alias("__map"))
+        maps = materialize(maps, "exceptions")
+        marked = marked.withColumn("__hash", F.xxhash64(text, F.length(text))).join(maps, "__hash", "left")
         override = F.col("__map")
 
-    def drawn(x: Column) -> Column:
-        new = surrogate_form(x["kind"], x["form"], key, F.lit(0))
-        if changed is not None:
-            new = F.coalesce(F.try_element_at(override, F.concat_ws(" ", x["kind"], x["form"])), new)
-        return F.struct(x["mention"].alias("mention"), x["kind"].alias("kind"), new.alias("new"))
-
-    swapped = F.transform(F.transform(_forms(F.col("__entities")), drawn), lambda x: in_format(x["mention"], x["kind"], x["new"]))
-    pieces = F.split(text, ENTITY, -1)
-    woven = F.array_join(F.zip_with(pieces, swapped, lambda p, s: F.concat(F.coalesce(p, F.lit("")), F.coalesce(s, F.lit("")))), "")
-    out = marked.withColumn(text_col, F.when(F.size("__entities") > 0, woven).otherwise(text))
-    columns = [F.col(c) for c in docs.columns]
-    return out.select(*columns, *([F.size("__entities").alias(count_col)] if count_col else []))
+    def drawn(kind: str, form: Column) -> Column:
+        first = _drawn(F.lit(kind), form, key, F.lit(0))
+        return first if override is None else F.coalesce(F.try_element_at(override, kind_form(F.lit(kind), form)), first)
+
+    def swapped_name(e: Column) -> Column:
+        word = lambda t, i: F.when(_is_part(t, i), F.concat(_recased(F.regexp_replace(t, "[.,]$", ""), drawn("name", _part_form(t))), F.regexp_extract(t, "([.,]?)$", 1))).otherwise(t)
+        return F.array_join(F.transform(F.split(e, " "), word), " ")
+
+    def swapped(e: Column) -> Column:
+        new = lambda k: F.when(k == "email", drawn("email", F.lower(e))).otherwise(number(k, canonical(e, k), key))
+        return _let(entity_type(e), lambda k: F.when(k == "name", swapped_name(e)).otherwise(_let(new(k), lambda f: _written(e, k, f))))
+
+    woven = F.array_join(F.transform("__pieces", lambda p, i: F.when(i % 2 == 1, swapped(p)).otherwise(p)), "")
+    out = marked.withColumn(text_col, F.when(F.size("__pieces") > 1, woven).otherwise(text))
+    count = F.when(text.isNull(), 0).otherwise(F.floor(F.size("__pieces") / 2)).cast("int")
+    return out.select(*[F.col(c) for c in docs.columns], *([count.alias(count_col)] if count_col else []))
 
 
 def surrogate_digest(docs: DataFrame, key: str = DEMO_KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
