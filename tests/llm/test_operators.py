@@ -221,7 +221,7 @@ def test_decontamination(spark, docs, empty):
     words = item.split(" ")
     moved = " ".join(words[20:] + words[:20])
     rows = [(1, prose(90, 50) + " " + item + " " + prose(91, 50)), (2, prose(92, 30) + " " + moved.upper()), (3, prose(93, 100)), (4, None), (5, " ".join(words[:8]))]
-    bench = spark.createDataFrame([(7, item), (8, "of"), (9, None), (7, item)], "item_id long, text string")
+    bench = spark.createDataFrame([(7, item), (8, "--"), (9, None), (7, item)], "item_id long, text string")
     table = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: (r["contaminated"], r["item_id"]) for r in decontam.contamination(table, bench).collect()}
     assert got == {1: (True, 7), 2: (True, 7), 3: (False, None), 4: (False, None), 5: (False, None)}
@@ -230,14 +230,41 @@ def test_decontamination(spark, docs, empty):
     assert decontam.drop_contaminated(docs, bench).columns == docs.columns
 
 
-def test_blocks_of_items(spark, monkeypatch):
-    monkeypatch.setattr(decontam, "BLOCK_BYTES", 200)
-    items = [(k, prose(500 + k, 30)) for k in range(8)]
-    rows = [(k, "x y " + t) for k, t in items] + [(99, prose(999, 60)), (None, items[3][1])]
+def test_short_and_many_items(spark, monkeypatch):
+    """Items of one or two tokens match as a whole; a full bit table and a frequent seed lose nothing."""
+    monkeypatch.setattr(decontam, "TABLE_BITS", (15, 15))
+    monkeypatch.setattr(decontam, "PAIRS", 7)
+    often = "and so on "
+    items = [(k, often + prose(500 + k, 30) + " " + often) for k in range(60)] + [(90, "zebra"), (91, "Zebra, yak"), (None, prose(777, 20)), (92, often * 20)]
+    rows = [(k, "x y " + t) for k, t in items[:60]] + [(99, often * 50), (100, "a zebra"), (101, "zebra\tYAK!"), (102, "yak zebras"), (None, items[3][1]), (103, prose(777, 20)), (104, None)]
     table, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
-    got = {r["doc_id"]: r["item_id"] for r in decontam.contamination(table, bench).collect()}
-    assert got == {**{k: k for k, _ in items}, 99: None, None: 3}
-    assert [r["doc_id"] for r in decontam.drop_contaminated(table, bench).collect()] == [99]
+    got = {r["doc_id"]: r["item_id"] if r["contaminated"] else -1 for r in decontam.contamination(table, bench).collect()}
+    assert got == {**{k: k for k in range(60)}, 99: 92, 100: 90, 101: 90, 102: -1, None: 3, 103: None, 104: -1}
+    assert sorted(r["doc_id"] for r in decontam.drop_contaminated(table, bench).collect()) == [102, 104]
+
+
+def test_contamination_by_brute_force(spark):
+    """Every pair of a document and an item, tiled by looking at all pairs of places."""
+    rng = random.Random(11)
+    word = lambda: rng.choice("abcdefgh")
+    items = [(k, [word() for _ in range(rng.randint(1, 14))]) for k in range(25)]
+    docs = []
+    for k in range(80):
+        words = [word() for _ in range(rng.randint(0, 30))]
+        if k % 2:
+            item = rng.choice(items)[1]
+            cut = rng.randint(0, len(item))
+            words += item[cut:] + [word()] + item[:cut]
+        docs.append((k, words))
+    want = {}
+    for k, words in docs:
+        shares = {i: plain_tiles(item, words, min(3, len(item))) / len(item) for i, item in items}
+        found = {i: s for i, s in shares.items() if s >= 0.5}
+        want[k] = (len(found), min(found, key=lambda i: (-found[i], i)) if found else None, max(found.values(), default=0.0))
+    table = spark.createDataFrame([(k, " ".join(w)) for k, w in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    got = {r["doc_id"]: (r["n_items"], r["item_id"], r["coverage"]) for r in decontam.contamination(table, bench).collect()}
+    assert got == want
 
 
 def plain_tiles(item, doc, least):
@@ -263,8 +290,10 @@ def test_tiles():
     for _ in range(150):
         item, doc = [rng.randint(0, 3) for _ in range(rng.randint(3, 25))], [rng.randint(0, 3) for _ in range(rng.randint(3, 40))]
         m = decontam.MIN_MATCH
-        seeds = [(i, j) for i in range(len(item) - m + 1) for j in range(len(doc) - m + 1) if item[i : i + m] == doc[j : j + m]]
-        got = decontam.tiles(np.array([s[0] for s in seeds], int), np.array([s[1] for s in seeds], int), len(item)) if seeds else 0
+        places = lambda xs: {tuple(xs[i : i + m]): [j for j in range(len(xs) - m + 1) if xs[j : j + m] == xs[i : i + m]] for i in range(len(xs) - m + 1)}  # noqa: E731, B023
+        a, b = places(item), places(doc)
+        shared = [(np.array(a[s]), np.array(b[s])) for s in a if s in b]
+        got = decontam.tiles(decontam.matches(shared, m), len(item)) if shared else 0
         assert got == plain_tiles(item, doc, m)
 
 
