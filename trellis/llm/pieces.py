@@ -1,15 +1,20 @@
-"""SentencePiece encoding and decoding as a weighted finite-state transducer.
-
-Three machines are compiled from a model file: the normaliser (a leading space, and spaces written as a visible
-mark), the lexicon (a trie over the pieces, with byte arcs for characters that no piece has) and an acceptor
-over pairs of pieces.  Composed with a text they make a lattice whose arcs are pieces; its shortest path in the
-tropical semiring (minimum, plus) is the encoding.
-
-The models served here are BPE models, whose encoding is not the path of best summed scores.  A segmentation is
-the BPE result if and only if every two neighbouring pieces, encoded together, give just those two pieces.  So an
-arc from piece a to piece b weighs 0 where BPE keeps the pair apart and infinity where it would merge over the
-boundary; exactly one path of each prefix has a finite weight, and dynamic programming keeps one state a
-position.  Unlike best-score paths, this gives the library's ids exactly.
+"""SentencePiece encoding and decoding as weighted finite-state transducers.
+
+Four machines are compiled from a model file: the normaliser (a byte trie whose leaves rewrite the longest match, then
+spaces as a visible mark), the lexicon (a trie over the pieces with failure arcs: one pass over an input puts out all
+pieces that end at each place), the fallback (characters
+that no piece has, put out as bytes or as the unknown piece) and an acceptor over pairs of pieces.  An input passes the
+normaliser; what comes out is composed with lexicon and fallback into a lattice, whose arcs are pieces with weights;
+the shortest path in the tropical semiring (minimum, plus) from its first to its last state is the encoding.
+
+* A unigram model weighs an arc by its piece's negative score, and all pairs by 0.
+* A BPE model's encoding is not the path of best summed scores.  A segmentation is the BPE result if and only if every
+  two neighbouring pieces, encoded together, give just those two pieces.  So the arcs weigh 0, and a pair weighs 0 where
+  BPE keeps it apart and infinity where it would merge over the boundary.  One path of each prefix has a finite weight,
+  so that one state a position is enough.  Unlike best-score paths, this gives the library's ids exactly.
+
+Where no piece goes over a space mark, the lattice falls apart into chunks, and equal chunks have equal paths: each
+worker keeps a bounded number of them.
 """
 
 from __future__ import annotations
@@ -30,7 +35,13 @@ MARK = "▁"
 CACHE_ENTRIES = 300_000
 PAIR_ENTRIES = 500_000
 CACHED_CHARS = 48
-_NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE = 1, 2, 3, 4, 6
+_NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
+_UNIGRAM, _BPE = 1, 2
+INFINITY = float("inf")
+#: Fixed value: how much below the worst piece an unknown character scores in a unigram model.
+UNKNOWN_PENALTY = 10.0
+#: Weight of a character in bytes in a BPE model: any path of pieces alone is shorter.
+BYTES_WEIGHT = 1.0
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -77,42 +88,122 @@ def read_model(data: bytes) -> tuple[list[tuple[str, float, int]], dict[int, obj
     return pieces, trainer, normaliser
 
 
+class Normaliser:
+    """The first machine: rewrites by the longest match in a byte trie, then the model's rules on spaces.
+
+    The trie is the double array that the model file carries; an empty one leaves all characters as they are.
+    """
+
+    def __init__(self, settings: dict[int, object]):
+        data = settings.get(2, b"")
+        self.prefix, self.squeeze, self.escape = bool(settings.get(3, 1)), bool(settings.get(4, 1)), bool(settings.get(5, 1))
+        size = struct.unpack_from("<I", data)[0] if data else 0
+        self.units = struct.unpack_from(f"<{size // 4}I", data, 4) if data else ()
+        self.texts = data[4 + size :]
+
+    @staticmethod
+    def _next(unit: int) -> int:
+        return (unit >> 10) << ((unit & 512) >> 6)
+
+    def longest(self, raw: bytes, at: int) -> tuple[int, bytes] | None:
+        """(bytes read, bytes put out) of the longest match at ``at``."""
+        units, best = self.units, None
+        node = self._next(units[0])
+        for k in range(at, len(raw)):
+            node ^= raw[k]
+            unit = units[node]
+            if unit & 0x800000FF != raw[k]:
+                break
+            node ^= self._next(unit)
+            if unit >> 8 & 1:
+                best = (k + 1 - at, units[node] & 0x7FFFFFFF)
+        if best is None:
+            return None
+        return best[0], self.texts[best[1] : self.texts.index(b"\0", best[1])]
+
+    def rewrite(self, text: str) -> list[str]:
+        """The output of each match, in order; a character without a match is its own."""
+        if not self.units:
+            return list(text)
+        raw, at, out = text.encode(), 0, []
+        while at < len(raw):
+            found = self.longest(raw, at)
+            if found is None:
+                width = 1 if raw[at] < 128 else 2 if raw[at] < 224 else 3 if raw[at] < 240 else 4
+                found = width, raw[at : at + width]
+            out.append(found[1].decode())
+            at += found[0]
+        return out
+
+    def apply(self, text: str) -> str:
+        mark = MARK if self.escape else " "
+        if not self.units and not self.squeeze:
+            return (mark if self.prefix and text else "") + (text.replace(" ", mark) if self.escape else text)
+        out, spaced = [], self.squeeze
+        for part in self.rewrite(text):
+            if spaced:
+                part = part.lstrip(" ")
+            out.append(part)
+            if part:
+                spaced = self.squeeze and part.endswith(" ")
+        joined = "".join(out)
+        if self.squeeze:
+            joined = joined.rstrip(" ")
+        return (mark if self.prefix and joined else "") + joined.replace(" ", mark)
+
+
 class PieceTransducer:
+    """Lexicon, fallback and pair acceptor of a model, and their composition with texts."""
+
     def __init__(self, data: bytes):
+        import ahocorasick
         import regex
 
         pieces, trainer, normaliser = read_model(data)
-        if trainer.get(3) != 2 or not trainer.get(35, 0):
-            raise ValueError("only BPE models with byte fallback are supported")
-        if normaliser.get(2, b"") or normaliser.get(4, 1) or not normaliser.get(3, 1):
-            raise ValueError("only the identity normaliser with a leading space is supported")
+        self.kind, self.in_bytes = trainer.get(3, _UNIGRAM), bool(trainer.get(35, 0))
+        if self.kind not in (_UNIGRAM, _BPE):
+            raise ValueError("only unigram and BPE models are supported")
+        if any(kind == _USER for _, _, kind in pieces):
+            raise ValueError("user-defined pieces are not supported")
+        self.normaliser = Normaliser(normaliser)
         self.text = [p[0] for p in pieces]
-        self.score = {t: s for t, s, kind in pieces if kind in (_NORMAL, _USER)}
-        if any(MARK in t.lstrip(MARK) for t in self.score):
-            raise ValueError("a piece has a space after other characters")
+        self.score = {t: s for t, s, kind in pieces if kind == _NORMAL}
         self.bytes = [0] * 256
+        self.unknown = next((i for i, p in enumerate(pieces) if p[2] == _UNKNOWN), 0)
+        self.unknown_weight = UNKNOWN_PENALTY - min(self.score.values(), default=0.0) if self.kind == _UNIGRAM else BYTES_WEIGHT
+        surface = trainer.get(44, " ⁇ ".encode())
         self.out: list[bytes] = []
         for i, (t, _, kind) in enumerate(pieces):
             if kind == _BYTE:
                 self.bytes[int(t[3:5], 16)] = i
                 self.out.append(bytes([int(t[3:5], 16)]))
             else:
-                self.out.append(b"" if kind == _CONTROL else " ⁇ ".encode() if kind == _UNKNOWN else t.replace(MARK, " ").encode())
-        self.pairs: dict[int, bool] = {}
-        # The lexicon: only pieces that BPE itself makes of their characters can be on a path.
-        self.trie: dict = {}
-        for i, (t, _, kind) in enumerate(pieces):
-            if kind in (_NORMAL, _USER) and self._bpe(t) == [t]:
-                node = self.trie
-                for c in t:
-                    node = node.setdefault(c, {})
-                node[""] = i
-        # No piece joins a character to a space after it, so no path crosses such a place.
-        self.chunks = regex.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
+                self.out.append(b"" if kind == _CONTROL else surface if kind == _UNKNOWN else t.replace(MARK, " ").encode())
+        self.pairs: dict[int, float] = {}
+        self.alone: dict[str, bytes] = {}
+        # The lexicon puts out (piece, length, weight).
+        self.lexicon, self.singles = ahocorasick.Automaton(), set()
+        for i, (t, score, kind) in enumerate(pieces):
+            # Of a BPE model only pieces that BPE itself makes of their characters can be on a path.
+            if kind == _NORMAL and t and (self.kind == _UNIGRAM or self._bpe(t) == [t]):
+                self.lexicon.add_word(t, (i, len(t), -score if self.kind == _UNIGRAM else 0.0))
+                if len(t) == 1:
+                    self.singles.add(t)
+                if self.kind == _BPE:
+                    # A chunk that is such a piece has it as its path.
+                    self.alone[t] = struct.pack("<i", i)
+        self.lexicon.make_automaton()
+        # If no piece joins a character to a mark after it, no path crosses such a place.
+        apart = not any(MARK in t.lstrip(MARK) for t in self.score)
+        self.chunks = regex.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall if apart else lambda text: [text]
+
+        alone = self.alone
 
         class Cache(dict):
             def __missing__(cache, chunk: str) -> bytes:  # noqa: N805
-                ids = struct.pack(f"<{len(found)}i", *found) if (found := self.shortest_path(chunk)) else b""
+                if (ids := alone.get(chunk)) is None:
+                    found = self.shortest_path(chunk)
+                    ids = struct.pack(f"<{len(found)}i", *found)
                 if len(chunk) <= CACHED_CHARS:
                     if len(cache) >= CACHE_ENTRIES:
                         cache.clear()
@@ -134,61 +225,94 @@ class PieceTransducer:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def finite(self, a: int, b: int) -> bool:
-        """Whether the arc from piece a to piece b has a finite weight."""
+    def pair_weight(self, a: int, b: int) -> float:
+        """Weight of piece b after piece a in a BPE model (-1: characters in bytes, which nothing merges with)."""
+        if a < 0 or b < 0:
+            return 0.0
         key = a << 32 | b
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= PAIR_ENTRIES:
                 self.pairs.clear()
             x, y = self.text[a], self.text[b]
-            known = self.pairs[key] = self._bpe(x + y) == [x, y]
+            known = self.pairs[key] = 0.0 if self._bpe(x + y) == [x, y] else INFINITY
         return known
 
     def shortest_path(self, chunk: str) -> list[int]:
-        """Piece ids of the one path of finite weight through the lattice of ``chunk``."""
-        n, trie, pairs = len(chunk), self.trie, self.pairs
-        last = [-2] * (n + 1)  # the piece that ends here on the finite path; -1: a character in bytes; -2: none
-        back = [0] * (n + 1)
-        last[0] = -1
-        for i in range(n):
-            before = last[i]
-            if before == -2:
-                continue
-            node, j = trie.get(chunk[i]), i + 1
-            if node is None or "" not in node:
-                # The character has no piece of its own: byte arcs, unless a longer piece has it.
-                if last[j] == -2:
-                    last[j], back[j] = -1, i
-            while node is not None:
-                piece = node.get("")
-                if piece is not None and last[j] < 0:
-                    ok = before < 0 or pairs.get(before << 32 | piece)
-                    if ok or (ok is None and self.finite(before, piece)):
-                        last[j], back[j] = piece, i
-                if j == n:
-                    break
-                node = node.get(chunk[j])
-                j += 1
+        """Piece ids of the path of least weight through the lattice of ``chunk`` (ties: the first one found).
+
+        The lattice is composed as the path is found, state by state: into each lead the lexicon's arcs, long ones
+        first, and where no piece is the character before it the fallback's.
+        """
+        n, by_pairs, pairs, unknown = len(chunk), self.kind == _BPE, self.pairs, self.unknown_weight
+        weight = [INFINITY] * (n + 1)
+        last, back = [-1] * (n + 1), [0] * (n + 1)
+        weight[0] = 0.0
+        strange = [] if self.singles.issuperset(chunk) else [k for k, c in enumerate(chunk) if c not in self.singles]
+        next_strange = 0
+        for at, (piece, length, own) in self.lexicon.iter(chunk):
+            while next_strange < len(strange) and strange[next_strange] < at:
+                k = strange[next_strange]
+                next_strange += 1
+                if weight[k] + unknown < weight[k + 1]:
+                    weight[k + 1], last[k + 1], back[k + 1] = weight[k] + unknown, -1, k
+            end = at + 1
+            start = end - length
+            total = weight[start] + own
+            if total < weight[end]:
+                before = last[start]
+                if by_pairs and before >= 0:
+                    apart = pairs.get(before << 32 | piece)
+                    total += self.pair_weight(before, piece) if apart is None else apart
+                if total < weight[end]:
+                    weight[end], last[end], back[end] = total, piece, start
+        for k in strange[next_strange:]:
+            if weight[k] + unknown < weight[k + 1]:
+                weight[k + 1], last[k + 1], back[k + 1] = weight[k] + unknown, -1, k
         ids: list[int] = []
         at = n
         while at:
             start = back[at]
-            ids.extend([last[at]] if last[at] >= 0 else [self.bytes[b] for b in reversed(chunk[start:at].encode())])
+            ids.extend([last[at]] if last[at] >= 0 else reversed(self.fallback(chunk[start:at])))
             at = start
         ids.reverse()
         return ids
 
+    def fallback(self, character: str) -> list[int]:
+        return [self.bytes[b] for b in character.encode()] if self.in_bytes else [self.unknown]
+
     def encode(self, text: str) -> bytes:
         """The piece ids of a text, as 32-bit little-endian numbers."""
-        if not text:
-            return b""
-        return b"".join(map(self.cache.__getitem__, self.chunks((MARK + text).replace(" ", MARK))))
+        ids = b"".join(map(self.cache.__getitem__, self.chunks(self.normaliser.apply(text))))
+        if self.in_bytes or not ids:
+            return ids
+        # A run of unknown characters is one unknown piece.
+        numbers = np.frombuffer(ids, dtype="<i4")
+        return numbers[np.append(True, (numbers[1:] != self.unknown) | (numbers[:-1] != self.unknown))].tobytes()
 
     def decode(self, ids: bytes) -> str:
         """The text of the ids; bytes that are no UTF-8 become the replacement character."""
-        raw = b"".join(map(self.out.__getitem__, np.frombuffer(ids, dtype="<i4").tolist()))
-        return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
+        numbers = np.frombuffer(ids, dtype="<i4").tolist()
+        parts = list(map(self.out.__getitem__, numbers))
+        # The space of the prefix goes, and with squeezed spaces that of every piece before the first character.
+        for k in range(len(parts) if self.normaliser.prefix or self.normaliser.squeeze else 0):
+            spaced = parts[k][:1] == b" " and numbers[k] != self.unknown
+            parts[k] = parts[k][spaced:]
+            if parts[k] or (spaced and not self.normaliser.squeeze):
+                break
+        return b"".join(parts).decode("utf-8", "replace")
+
+
+_MACHINES: dict[bytes, PieceTransducer] = {}
+
+
+def machine_of(data: bytes) -> PieceTransducer:
+    """The compiled model, kept with its caches for the later tasks of a worker (one model at a time)."""
+    key = hashlib.sha256(data).digest()
+    if key not in _MACHINES:
+        _MACHINES.clear()
+        _MACHINES[key] = PieceTransducer(data)
+    return _MACHINES[key]
 
 
 def _model_bytes(path: str) -> bytes:
@@ -201,7 +325,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     data = docs.sparkSession.sparkContext.broadcast(_model_bytes(model_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = PieceTransducer(data.value)
+        machine = machine_of(data.value)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), _id_lists([machine.encode(t) for t in batch.column(1).to_pylist()])], names=["doc_id", "piece_ids"])
 
@@ -213,7 +337,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     data = encoded.sparkSession.sparkContext.broadcast(_model_bytes(model_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = PieceTransducer(data.value)
+        machine = machine_of(data.value)
         for batch in batches:
             texts = [machine.decode(np.array(ids or [], dtype="<i4").tobytes()) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
@@ -237,7 +361,7 @@ def round_trip_digest(docs: DataFrame, model_path: str, id_col: str = "doc_id",
     data = docs.sparkSession.sparkContext.broadcast(_model_bytes(model_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = PieceTransducer(data.value)
+        machine = machine_of(data.value)
         for batch in batches:
             count, ids_hash, text_hash, exact = [], [], [], []
             for text in batch.column(1).to_pylist():
@@ -253,13 +377,16 @@ def round_trip_digest(docs: DataFrame, model_path: str, id_col: str = "doc_id",
 
 
 def with_pieces(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
-    """``docs`` with all their columns, and piece_ids and decoded (the ids decoded again) beside them."""
+    """``docs`` with all their columns, and piece_ids and decoded (the ids decoded again) beside them.
+
+    Columns of ``docs`` that have one of these two names are replaced.  Cases as in ``round_trip_digest``.
+    """
     data, at = docs.sparkSession.sparkContext.broadcast(_model_bytes(model_path)), docs.columns.index(text_col)
     schema = docs.drop("piece_ids", "decoded").schema.add("piece_ids", T.ArrayType(T.IntegerType())).add("decoded", T.StringType())
     keep = [k for k, c in enumerate(docs.columns) if c not in ("piece_ids", "decoded")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = PieceTransducer(data.value)
+        machine = machine_of(data.value)
         for batch in batches:
             ids = [machine.encode(t or "") for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], _id_lists(ids), pa.array([machine.decode(i) for i in ids], pa.string())], names=[*[batch.schema.names[k] for k in keep], "piece_ids", "decoded"])
