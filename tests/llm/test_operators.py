@@ -52,6 +52,13 @@ def test_tokens(spark, docs, empty):
     count = lambda t: len(lib.encode(t or "", add_special_tokens=False).ids)
     assert got == sorted((i or 0, len((t or "").encode()), count(t), count(t) > 1024) for i, t in fixture_rows())
     assert tokens.token_counts(empty, path).count() == 0
+    # No table, a table of all, and scripts outside of the safe range: the same counts.
+    scripts = [(1, "नमस्ते दुनिया 123 <|endoftext|>"), (2, "مرحبا بالعالم"), (3, "שלום  עולם!"), (4, "สวัสดีชาวโลก"), (5, "ᚠᛇᚻ ᏣᎳᎩ " * 3000), (6, "x" * 1_500_000 + " नम")]
+    table = spark.createDataFrame(scripts, "doc_id long, text string")
+    for rows in (0, 10**6):
+        assert {r["doc_id"]: r["n_tokens"] for r in tokens.token_counts(table, path, sample_rows=rows).collect()} == {i: count(t) for i, t in scripts}
+    table = tokens.FrequentLengths({"a": 1, " नम": 4, "é": 70000 % 65536})
+    assert table.as_dict() == {"a": 1, " नम": 4, "é": 4464}
 
 
 def test_token_classes_agree():
