@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from trellis.llm import components, decontam, digest, langid, pieces, pii, quality, queries, simhash, suffixes, tokens
+from trellis.llm import components, decontam, langid, pieces, pii, quality, queries, simhash, suffixes, tokens
 
 WORDS = ["then", "erhe", "thand", "onthsh", "der", "ver", "queres", "la", "in", "of", "ünd", "él"]
 
@@ -404,32 +404,6 @@ def test_merge_runs():
         assert all(b[1] == suffixes.common_prefix(a[0], b[0]) for a, b in zip(out, out[1:]))
 
 
-def test_digest(spark, docs, empty):
-    got = digest.document_digests(docs).collect()
-    order = sorted(fixture_rows(), key=lambda r: (-(r[0] if r[0] is not None else -(1 << 63)), r[1] or ""))
-    want = []
-    for k, (i, t) in enumerate(order):
-        t, follow = t or "", order[(k + 1) % len(order)][1] or ""
-        m = len(t) // 3
-        want.append((i or 0, len(t), hashlib.sha256((t[: len(t) - m] + follow[:m]).encode()).hexdigest()))
-    assert sorted((r["doc_id"] or 0, r["n_chars"], r["edited_sha256"]) for r in got) == sorted(want)
-    by_id = {r["doc_id"]: r for r in got}
-    assert by_id[6]["fingerprint"] == by_id[7]["fingerprint"] != by_id[11]["fingerprint"] and by_id[7]["near_next"] == 1.0
-    assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
-    assert by_id[5]["near_edited"] > 0.5 > by_id[11]["near_next"]
-    assert digest.document_digests(empty).count() == 0
-
-
-def test_entropy_is_exact():
-    text = prose(8, 60).encode() + bytes(range(100)) + b"z" * 90
-    starts, size = np.array([digest.WINDOW]), np.array([len(text)])
-    pad = np.arange(256, 256 + digest.WINDOW, dtype=np.uint16)
-    rank = digest._ranks(np.concatenate([pad, np.frombuffer(text, np.uint8).astype(np.uint16), pad, pad]), starts, size)
-    for i in range(len(text) - digest.WINDOW + 1):
-        total = sum(int(digest._PART[c]) for c in np.bincount(np.frombuffer(text[i : i + digest.WINDOW], np.uint8)))
-        assert rank[digest.WINDOW + i] == digest._RANK[total >> digest._STEP]
-
-
 def test_pipeline(spark):
     import corpus_pipeline
 
