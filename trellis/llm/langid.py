@@ -3,11 +3,13 @@
 For each language a variable-order context tree of its case-folded letter bytes (all else is one separator) is
 counted to order 3.  A symbol unseen in a context costs an escape and is coded in the next shorter context,
 with the symbols of the longer one excluded; below order 0 stands the uniform code.  After learning, the
-statistics are frozen: the code length of every (context, symbol) is tabulated exactly, so that scoring a text
-is three table steps and one lookup a byte.  The language with the shortest code wins (ties: the smaller name).
+statistics are frozen: the code length of every (context, symbol) is tabulated, in 32-bit floating point, so that
+scoring a text is three table steps and one lookup a byte.  The language with the shortest code wins (ties: the smaller
+name).
 
 Learning reads a bounded sample of documents for each language (``max_docs``, a parameter), chosen by a hash of
-the id.  The tables that are broadcast are bound by that sample, never by the corpus; their size is checked.
+the id.  The tables that are broadcast are bound by that sample, never by the corpus.  Languages whose tables together
+would take over BLOCK_BYTES are tabulated and broadcast in several blocks, and a text is scored by one after another.
 
 Cases: null texts and texts without a letter are ``und`` with score 0; rows are independent; without any
 learned language every text is ``und``; an empty table gives no rows; other columns are not read.
@@ -26,8 +28,7 @@ from trellis.llm.common import hash_limit, map_arrow, row_chunks, text_buffer
 
 ORDER = 3
 MAX_DOCS = 300
-MAX_LANGUAGES = 400
-MAX_TABLE_BYTES = 512 << 20
+BLOCK_BYTES = 256 << 20
 
 
 def _classes(used: np.ndarray) -> np.ndarray:
@@ -81,11 +82,14 @@ class ContextTrees:
         return bits
 
 
-def learn(samples: dict[str, list[str]]) -> ContextTrees | None:
-    """Count the trees of case-folded sample texts, then tabulate their code lengths."""
+def learn(samples: dict[str, list[str]]) -> list[ContextTrees]:
+    """Count the trees of case-folded sample texts, then tabulate their code lengths, in blocks of languages.
+
+    A context that no language of a block has costs there what its longest known suffix costs: blocks change nothing.
+    """
     languages = sorted(samples)
     if not languages:
-        return None
+        return []
     texts = {lang: [t.lower().encode() for t in samples[lang]] for lang in languages}
     seen = np.zeros(256, dtype=bool)
     for group in texts.values():
@@ -111,14 +115,24 @@ def learn(samples: dict[str, list[str]]) -> ContextTrees | None:
             code = code * width + wide[at - k]
         grams[lang] = np.unique(code, return_counts=True)
 
+    blocks: list[list[str]] = []
+    for lang in languages:
+        size = len(np.unique(grams[lang][0] // width)) + 1
+        if not blocks or (held + size) * width * (len(blocks[-1]) + 1) * 4 > BLOCK_BYTES:  # noqa: F821
+            blocks.append([])
+            held = 0
+        blocks[-1].append(lang)
+        held += size
+    return [_tabulate(block, {lang: grams[lang] for lang in block}, table, width) for block in blocks]
+
+
+def _tabulate(languages: list[str], grams: dict[str, tuple[np.ndarray, np.ndarray]], table: np.ndarray, width: int) -> ContextTrees:
     # Contexts of order k are the k symbols before a coded symbol, over all languages.
     contexts = [np.zeros(1, dtype=np.int64)]
     every = np.unique(np.concatenate([grams[lang][0] for lang in languages]))
     for k in range(1, ORDER + 1):
         contexts.append(np.unique(every // width % width**k))
     base = np.cumsum([0] + [len(c) for c in contexts])
-    if base[-1] * width * len(languages) * 4 > MAX_TABLE_BYTES:
-        raise ValueError("the context tables are too large to broadcast: lower max_docs")
 
     def find(k: int, code: np.ndarray) -> np.ndarray:
         """Node of an order-k context, or of its longest suffix that is known."""
@@ -157,46 +171,52 @@ def learn(samples: dict[str, list[str]]) -> ContextTrees | None:
     return ContextTrees(languages, table, step, cost)
 
 
-def fit(docs: DataFrame, max_docs: int = MAX_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ContextTrees | None:
+def fit(docs: DataFrame, max_docs: int = MAX_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[ContextTrees]:
     """Learn from at most ``max_docs`` documents of each language of ``docs``."""
     labelled = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(lang_col).alias("lang")).filter("lang is not null")
-    keyed = labelled.withColumn("order", F.xxhash64(F.col("doc_id")))
-    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    lowest = {lang: hash_limit(1.1 * max_docs / n) for lang, n in sizes.items()}
-    if not lowest:
-        return None
-    limit = F.create_map(*[F.lit(x) for pair in lowest.items() for x in pair])
-    sample = keyed.filter(F.col("order") <= limit[F.col("lang")])
+    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one number a language
+    if not sizes:
+        return []
+    limits = docs.sparkSession.createDataFrame([(lang, hash_limit(1.1 * max_docs / n)) for lang, n in sorted(sizes.items())], "lang string, most long")
+    sample = labelled.withColumn("order", F.xxhash64("doc_id")).join(limits, "lang").filter("order <= most")
     by_lang: dict[str, list[tuple]] = {}
     for r in sample.select("lang", "order", "text").toLocalIterator():
         by_lang.setdefault(r["lang"], []).append((r["order"], r["text"]))
+        # Rows with one id share its place in the order: a language keeps no more than its share at any time.
+        if len(by_lang[r["lang"]]) > 4 * max_docs:
+            by_lang[r["lang"]] = sorted(by_lang[r["lang"]])[:max_docs]
     return learn({lang: [t for _, t in sorted(rows)[:max_docs]] for lang, rows in by_lang.items()})
 
 
-def predict(docs: DataFrame, trees: ContextTrees | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, trees: list[ContextTrees], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, lang_pred, score (the posterior of the language under equal priors)."""
     schema = "doc_id long, lang_pred string, score double"
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("letter"))
-    if trees is None:
+    if not trees:
         return texts.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast((trees.languages, trees.table, trees.step, trees.cost))
+    context = docs.sparkSession.sparkContext
+    shared = [context.broadcast((t.languages, t.table, t.step, t.cost)) for t in trees]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = ContextTrees(*shared.value)
-        names = np.array(model.languages, dtype=object)
         for batch in batches:
             buf, offsets = text_buffer(batch.column(1))
-            bits = np.zeros((batch.num_rows, len(names)))
-            for a, b in row_chunks(offsets, 1 << 19):
-                bits[a:b] = model.bits(buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            best = bits.argmin(axis=1)
-            gap = np.minimum(bits - bits.min(axis=1, keepdims=True), 1000.0)
-            score = 1.0 / np.exp2(-gap).sum(axis=1)
+            least, rest = np.full(batch.num_rows, np.inf), np.zeros(batch.num_rows)
+            name = np.full(batch.num_rows, "und", dtype=object)
+            for block in shared:
+                model = ContextTrees(*block.value)
+                bits = np.zeros((batch.num_rows, len(model.languages)))
+                for a, b in row_chunks(offsets, 1 << 19):
+                    bits[a:b] = model.bits(buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                best = bits.argmin(axis=1)
+                own = bits.min(axis=1)
+                # The sum of 2 ** (least - bits) over the languages so far, under the least so far.
+                low = np.minimum(least, own)
+                rest = rest * np.exp2(-np.minimum(least - low, 1000.0)) + np.exp2(-np.minimum(bits - low[:, None], 1000.0)).sum(axis=1)
+                name = np.where(own < least, np.array(model.languages, dtype=object)[best], name)
+                least = low
             letter = batch.column(2).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.where(letter, names[best], "und").tolist(), pa.string()), pa.array(np.where(letter, score, 0.0))],
+                [batch.column(0), pa.array(np.where(letter, name, "und").tolist(), pa.string()), pa.array(np.where(letter, 1.0 / rest, 0.0))],
                 names=["doc_id", "lang_pred", "score"],
             )
 
