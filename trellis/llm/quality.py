@@ -9,7 +9,8 @@ Learning is fitted on a bounded sample of labelled rows (``max_rows``, a paramet
 their id, so the sample does not depend on partitions).  Scoring reads every text whole, map-side.
 
 Cases: a null text counts as empty and is scored by its structure features; rows are scored independently, so
-repeated rows score alike; labels of 0 and 1 for one id are both used, null labels are not; with no usable label
+repeated rows score alike; of rows with one id one is learned from; labels of 0 and 1 for one id are both used, null
+labels are not; texts of any length are read whole; with no usable label
 the model is the constant 0.5; an empty table gives no rows; other columns are not read.
 """
 
@@ -165,7 +166,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED_ROWS) -
     if not picked:
         return train([])
     ids = spark.createDataFrame(picked, "doc_id long, label int")
-    texts = doc_texts(docs).join(F.broadcast(ids), "doc_id")  # at most max_rows ids
+    # Of rows with one id, the text of the smallest hash: no more than max_rows texts come together.
+    least = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")
+    texts = doc_texts(docs).join(F.broadcast(ids.distinct()), "doc_id").groupBy("doc_id", "label").agg(least).select("doc_id", "label", F.col("t.text").alias("text"))
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
