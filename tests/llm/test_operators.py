@@ -111,6 +111,18 @@ def test_simhash(spark, docs, empty):
     assert simhash.simhash_components(empty).count() == 0
 
 
+def test_long_fingerprints():
+    """A long text in pieces has the fingerprint of the whole."""
+    rng = random.Random(12)
+    for n in (0, 1, 2, 3, 4, 50, 4000):
+        text = "".join(rng.choice(["a", "bb", "C", "dé"]) + rng.choice([" ", "  ", "\n"]) for _ in range(n)).encode()
+        buf = np.frombuffer(text, np.uint8)
+        for size in (1, 7, 100, 10**6):
+            assert simhash.long_fingerprint(buf, 3, size) == plain_simhash(text.decode(), 3)
+    big = (prose(3, 5000) + "\n") * 60
+    assert simhash.long_fingerprint(np.frombuffer(big.encode(), np.uint8), 3) == plain_simhash(big, 3)
+
+
 def test_close_pairs_and_levels():
     rng = np.random.default_rng(1)
     fps = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
@@ -304,18 +316,75 @@ def test_tiles():
         assert got == plain_tiles(item, doc, m)
 
 
-def test_language(spark, docs, empty):
-    words = {"aa": ["alba", "anda", "arba"], "bb": ["brum", "bolk", "burt"]}
-    rows = [(k * 2 + j, " ".join(random.Random(k).choice(words[lang]) for _ in range(40)), lang) for j, lang in enumerate(words) for k in range(30)]
+def plain_bits(samples, lang, text):
+    """Code length by prediction by partial matching with exclusion, straight from the counts."""
+    letters = sorted({b for group in samples.values() for t in group for b in t.lower().encode() if b >= 128 or 97 <= b <= 122})
+    symbol = lambda b: letters.index(b) + 2 if b in letters else 1 if b >= 128 or 97 <= b <= 122 else 0
+    width = len(letters) + 2
+
+    def symbols(t):
+        out = [0, 0, 0]
+        for b in t.lower().encode():
+            s = symbol(b)
+            if s or out[-1]:
+                out.append(s)
+        return out
+
+    counts = {}
+    for t in samples[lang]:
+        s = symbols(t)
+        for i in range(3, len(s)):
+            for k in range(4):
+                counts.setdefault(tuple(s[i - k : i]), {}).setdefault(s[i], 0)
+                counts[tuple(s[i - k : i])][s[i]] += 1
+
+    def chance(context, x, excluded=frozenset()):
+        """The order -1 model is uniform; an escape goes to the next shorter context, without the symbols seen here."""
+        here = {a: n for a, n in counts.get(context, {}).items()}
+        shorter = (lambda a: chance(context[1:], a)) if context else (lambda a: 1 / width)
+        if not here:
+            return shorter(x)
+        total, left = sum(here.values()), 1 - sum(shorter(a) for a in here)
+        if left <= 1e-12:
+            return here.get(x, 0) / total or 1e-12
+        return here[x] / (total + len(here)) if x in here else len(here) / (total + len(here)) * shorter(x) / left
+
+    s = symbols(text)
+    return -sum(np.log2(chance(tuple(s[i - 3 : i]), s[i])) for i in range(3, len(s)))
+
+
+def test_language(spark, docs, empty, monkeypatch):
+    words = {"aa": ["alba", "anda", "arba"], "bb": ["brum", "bolk", "burt"], "cc": ["cola", "über", "albo"]}
+    rows = [(k * 3 + j, " ".join(random.Random(k).choice(words[lang]) for _ in range(40)), lang) for j, lang in enumerate(words) for k in range(30)]
     train = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     trees = langid.fit(train)
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(train, trees).collect()}
-    assert all(got[i][0] == lang for i, _, lang in rows)
+    assert all(got[i][0] == lang for i, _, lang in rows) and len(trees) == 1
     out = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs, trees).collect()}
     assert out[1] == out[2] == out[3] == out[12] == "und" and out[4] in words
-    assert langid.predict(empty, trees).count() == 0 and langid.fit(train.limit(0)) is None
+    assert langid.predict(empty, trees).count() == 0 and langid.fit(train.limit(0)) == []
     # Frozen code lengths are those of a distribution in every context.
-    assert np.allclose(np.exp2(-trees.cost.astype(float)).sum(axis=1), 1.0, atol=1e-3)
+    assert np.allclose(np.exp2(-trees[0].cost.astype(float)).sum(axis=1), 1.0, atol=1e-3)
+    # Languages in several blocks, and the definition.
+    samples = {lang: [t for _, t, x in rows if x == lang] for lang in words}
+    monkeypatch.setattr(langid, "BLOCK_BYTES", 1)
+    blocks = langid.learn(samples)
+    assert [b.languages for b in blocks] == [["aa"], ["bb"], ["cc"]]
+    again = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(train, blocks).collect()}
+    assert all(again[i][0] == got[i][0] and np.isclose(again[i][1], got[i][1], atol=1e-9) for i in got)
+    for text in ("alba brum", "über Ärger, 12 x", "arb", "zz"):
+        raw = np.frombuffer(text.lower().encode(), np.uint8)
+        for whole, part in zip(trees[0].bits(raw, np.array([0, len(raw)]))[0], blocks):
+            assert np.isclose(whole, part.bits(raw, np.array([0, len(raw)]))[0, 0], rtol=1e-5)
+        for lang, bits in zip(trees[0].languages, trees[0].bits(raw, np.array([0, len(raw)]))[0]):
+            assert np.isclose(bits, plain_bits(samples, lang, text), rtol=1e-4)
+
+
+def test_languages_without_end(spark):
+    """Any number of languages, each of one document."""
+    rows = [(k, f"w{k} " * 5, f"l{k:04d}") for k in range(600)]
+    trees = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sum(len(t.languages) for t in trees) == 600
 
 
 def test_pii(spark, docs, empty):

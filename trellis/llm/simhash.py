@@ -27,7 +27,9 @@ from trellis.llm.components import connected_components
 RADIUS = 2
 SEED = 42
 BUCKET = 4096
+BLOCK_SHINGLES = 1 << 18
 BLOCK_ROWS = 8192
+LONG = 4 << 20  # bytes from which a text is shingled in pieces
 _SPACE = separator_table(b" \t\n\x0b\x0c\r")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -52,16 +54,25 @@ def shingle_hashes(buf: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.nda
         apart[1 : len(starts)] = np.cumsum((starts[1:] - ends[:-1] != 1) | (low[ends[:-1]] != 32))
     apart[len(starts) :] = apart[len(starts) - 1] if len(starts) else 0
     raw, digest = low.tobytes(), xxhash.xxh64_intdigest
-    begin, end = starts[head], ends[last]
-    plain = apart[last] == apart[head]
-    if plain.all():
-        hashes = [digest(raw[a:b], SEED) for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
-    else:
-        hashes = []
-        for a, b, ok, i, j in zip(begin.tolist(), end.tolist(), plain.tolist(), head.tolist(), last.tolist(), strict=True):
-            part = raw[a:b] if ok else b" ".join(raw[starts[w] : ends[w]] for w in range(i, j + 1))
-            hashes.append(digest(part, SEED))
-    return np.array(hashes, dtype=np.uint64), bounds
+    hashes = np.empty(len(head), dtype=np.uint64)
+    for first in range(0, len(head), BLOCK_SHINGLES):
+        i, j = head[first : first + BLOCK_SHINGLES], last[first : first + BLOCK_SHINGLES]
+        begin, end, plain = starts[i].tolist(), ends[j].tolist(), apart[j] == apart[i]
+        if plain.all():
+            hashes[first : first + len(i)] = [digest(raw[a:b], SEED) for a, b in zip(begin, end, strict=True)]
+        else:
+            spaced = zip(begin, end, plain.tolist(), i.tolist(), j.tolist(), strict=True)
+            hashes[first : first + len(i)] = [digest(raw[a:b] if ok else b" ".join(raw[starts[w] : ends[w]] for w in range(x, y + 1)), SEED) for a, b, ok, x, y in spaced]
+    return hashes, bounds
+
+
+def bit_sums(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit."""
+    sums = np.zeros(64, dtype=np.int64)
+    for first in range(0, len(hashes), BLOCK_SHINGLES):
+        block = hashes[first : first + BLOCK_SHINGLES]
+        sums += np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return sums
 
 
 def majority_bits(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -70,12 +81,34 @@ def majority_bits(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     out = np.zeros(len(count), dtype=np.uint64)
     some = np.flatnonzero(count)
     if len(some):
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        sums = np.add.reduceat(bits, bounds[some], axis=0, dtype=np.int32)
+        if len(hashes) <= BLOCK_SHINGLES:
+            bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            sums = np.add.reduceat(bits, bounds[some], axis=0, dtype=np.int32)
+        else:
+            sums = np.array([bit_sums(hashes[bounds[r] : bounds[r + 1]]) for r in some])
         out[some] = np.packbits(2 * sums > count[some, None], axis=1, bitorder="little").view(np.uint64).ravel()
     return out
 
 
+def long_fingerprint(buf: np.ndarray, k: int, size: int = 1 << 20) -> int:
+    """The fingerprint of one long text, shingled in pieces of about ``size`` bytes that end between words."""
+    spaces = np.flatnonzero(_SPACE[buf])
+    sums, count, first, n = np.zeros(64, dtype=np.int64), 0, 0, len(buf)
+    starts, ends = word_spans(buf, np.array([0, n]), _SPACE)
+    while first < n:
+        at = int(np.searchsorted(spaces, first + size))
+        cut = int(spaces[at]) if at < len(spaces) else n
+        # The words that begin before the cut, and the k - 1 after it that end their shingles.
+        after = int(np.searchsorted(starts, cut))
+        end = int(ends[min(after + k - 1, len(ends)) - 1]) if len(ends) and cut < n else n
+        if len(starts) <= k or after - int(np.searchsorted(starts, first)) > 0 and len(starts) - int(np.searchsorted(starts, first)) >= k:
+            hashes, _ = shingle_hashes(buf[first : max(end, cut)], np.array([0, max(end, cut) - first]), k)
+            sums += bit_sums(hashes)
+            count += len(hashes)
+        first = cut if len(starts) > k else n
+    return int(np.packbits(2 * sums > count, bitorder="little").view(np.uint64)[0]) if count else 0
+
+
 def bit_planes(fingerprints: np.ndarray) -> np.ndarray:
     """(64, words): bit b of the fingerprints as a bitset over the rows, with one spare word of zeros."""
     n = len(fingerprints)
@@ -273,7 +306,8 @@ def fingerprint_table(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id",
             buf, offsets = text_buffer(batch.column(1))
             out = np.zeros(batch.num_rows, dtype=np.uint64)
             for a, b in row_chunks(offsets):
-                out[a:b] = majority_bits(*shingle_hashes(buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], shingle))
+                part = buf[offsets[a] : offsets[b]]
+                out[a:b] = long_fingerprint(part, shingle) if b - a == 1 and len(part) > LONG else majority_bits(*shingle_hashes(part, offsets[a : b + 1] - offsets[a], shingle))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], names=["doc_id", "fp"])
 
     return map_arrow(doc_texts(docs, id_col, text_col), run, "doc_id long, fp long")
