@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,7 @@ MARK = "▁"
 CACHE_ENTRIES = 300_000
 PAIR_ENTRIES = 500_000
 CACHED_CHARS = 48
+MAX_PIECES = 1 << 20
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _UNIGRAM, _BPE = 1, 2
 INFINITY = float("inf")
@@ -167,6 +169,7 @@ class PieceTransducer:
             raise ValueError("user-defined pieces are not supported")
         self.normaliser = Normaliser(normaliser)
         self.text = [p[0] for p in pieces]
+        self.sizes = [len(t) for t in self.text]
         self.score = {t: s for t, s, kind in pieces if kind == _NORMAL}
         self.bytes = [0] * 256
         self.unknown = next((i for i, p in enumerate(pieces) if p[2] == _UNKNOWN), 0)
@@ -202,8 +205,8 @@ class PieceTransducer:
         class Cache(dict):
             def __missing__(cache, chunk: str) -> bytes:  # noqa: N805
                 if (ids := alone.get(chunk)) is None:
-                    found = self.shortest_path(chunk)
-                    ids = struct.pack(f"<{len(found)}i", *found)
+                    plain = self.kind == _BPE and self.singles.issuperset(chunk)
+                    ids = array("i", self.finite_path(chunk) if plain else self.shortest_path(chunk)).tobytes()
                 if len(chunk) <= CACHED_CHARS:
                     if len(cache) >= CACHE_ENTRIES:
                         cache.clear()
@@ -229,7 +232,7 @@ class PieceTransducer:
         """Weight of piece b after piece a in a BPE model (-1: characters in bytes, which nothing merges with)."""
         if a < 0 or b < 0:
             return 0.0
-        key = a << 32 | b
+        key = a * MAX_PIECES + b
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= PAIR_ENTRIES:
@@ -238,6 +241,35 @@ class PieceTransducer:
             known = self.pairs[key] = 0.0 if self._bpe(x + y) == [x, y] else INFINITY
         return known
 
+    def finite_path(self, chunk: str) -> list[int]:
+        """``shortest_path`` of a BPE model for a chunk without strange characters.
+
+        All weights are 0 or infinity there, and one path of each prefix is finite: the first finite arc into a state
+        is its least, and a piece tells where its arc began.
+        """
+        n, pairs, sizes = len(chunk), self.pairs, self.sizes
+        last = [-2] * n + [-1]  # the piece that ends before each place; -1 (at the end of the list, as place 0): the start
+        for at, (piece, length, _) in self.lexicon.iter(chunk):
+            if last[at] == -2:
+                before = last[at - length]
+                if before >= 0:
+                    apart = pairs.get(before * MAX_PIECES + piece)
+                    if apart is None:
+                        apart = self.pair_weight(before, piece)
+                    if apart:
+                        continue
+                elif before == -2:
+                    continue
+                last[at] = piece
+        ids: list[int] = []
+        at = n - 1
+        while at >= 0:
+            piece = last[at]
+            ids.append(piece)
+            at -= sizes[piece]
+        ids.reverse()
+        return ids
+
     def shortest_path(self, chunk: str) -> list[int]:
         """Piece ids of the path of least weight through the lattice of ``chunk`` (ties: the first one found).
 
@@ -262,7 +294,7 @@ class PieceTransducer:
             if total < weight[end]:
                 before = last[start]
                 if by_pairs and before >= 0:
-                    apart = pairs.get(before << 32 | piece)
+                    apart = pairs.get(before * MAX_PIECES + piece)
                     total += self.pair_weight(before, piece) if apart is None else apart
                 if total < weight[end]:
                     weight[end], last[end], back[end] = total, piece, start
