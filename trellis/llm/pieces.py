@@ -196,6 +196,13 @@ class PieceTransducer:
                     # A chunk that is such a piece has it as its path.
                     self.alone[t] = struct.pack("<i", i)
         self.lexicon.make_automaton()
+        # The same trie by itself, for a search that goes forward: a state has its arcs and the piece that it puts out.
+        self.trie: list = [{}, -1]
+        for _, (i, _, _) in self.lexicon.items() if self.kind == _BPE else ():
+            state = self.trie
+            for c in self.text[i]:
+                state = state[0].setdefault(c, [{}, -1])
+            state[1] = i
         # If no piece joins a character to a mark after it, no path crosses such a place.
         apart = not any(MARK in t.lstrip(MARK) for t in self.score)
         self.chunks = regex.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall if apart else lambda text: [text]
@@ -244,31 +251,48 @@ class PieceTransducer:
     def finite_path(self, chunk: str) -> list[int]:
         """``shortest_path`` of a BPE model for a chunk without strange characters.
 
-        All weights are 0 or infinity there, and one path of each prefix is finite: the first finite arc into a state
-        is its least, and a piece tells where its arc began.
+        All weights are 0 or infinity there, and exactly one path of each prefix is finite.  So the finite path is
+        found depth first, long arcs first; a state from which no finite arc leads on is never entered again.
         """
-        n, pairs, sizes = len(chunk), self.pairs, self.sizes
-        last = [-2] * n + [-1]  # the piece that ends before each place; -1 (at the end of the list, as place 0): the start
-        for at, (piece, length, _) in self.lexicon.iter(chunk):
-            if last[at] == -2:
-                before = last[at - length]
+        n, pairs, sizes, root = len(chunk), self.pairs, self.sizes, self.trie[0]
+        path: list[int] = []
+        others: list[list[int]] = []
+        dead: set[int] = set()
+        at, before, fresh, arcs = 0, -1, True, []
+        while True:
+            if fresh:
+                arcs = []
+                state, end = root.get(chunk[at]), at + 1
+                while state is not None:
+                    on, piece = state
+                    if piece >= 0:
+                        arcs.append(piece)
+                    if end == n:
+                        break
+                    state = on.get(chunk[end])
+                    end += 1
+            fresh = False
+            while arcs:
+                piece = arcs.pop()
                 if before >= 0:
                     apart = pairs.get(before * MAX_PIECES + piece)
                     if apart is None:
                         apart = self.pair_weight(before, piece)
                     if apart:
                         continue
-                elif before == -2:
+                end = at + sizes[piece]
+                if end in dead:
                     continue
-                last[at] = piece
-        ids: list[int] = []
-        at = n - 1
-        while at >= 0:
-            piece = last[at]
-            ids.append(piece)
-            at -= sizes[piece]
-        ids.reverse()
-        return ids
+                path.append(piece)
+                if end == n:
+                    return path
+                others.append(arcs)
+                at, before, fresh = end, piece, True
+                break
+            if not fresh:
+                dead.add(at)
+                at -= sizes[path.pop()]
+                before, arcs = path[-1] if path else -1, others.pop()
 
     def shortest_path(self, chunk: str) -> list[int]:
         """Piece ids of the path of least weight through the lattice of ``chunk`` (ties: the first one found).
