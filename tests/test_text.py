@@ -9,7 +9,6 @@ from trellis.functions import findings, guard, terms
 from trellis.functions import text as T
 from trellis.functions import textkeys as K
 from trellis.operators import graph, link, mutate, review
-from trellis.sources import tables
 
 COMPLAINTS = ["đau bụng", "đau bụng dưới", "buồn ngủ", "hoa mắt", "run", "chân không vững", "dai dẳng", "cứng", "Ngạt mũi"]
 
@@ -169,19 +168,6 @@ def test_mutations(spark):
     assert sorted(map(tuple, up.collect())) == [(1, "a", False), (2, "c", False), (3, "d", True)]
 
 
-def test_sources(spark, tmp_path):
-    path = f"file://{tmp_path}"
-    df = spark.createDataFrame([("k", "=1+1"), ("K2", "x,\"y\"")], "a string, b string")
-    tables.write_csv(df, f"{path}/csv", ["b", "a"])
-    back = tables.read_csv(spark, f"{path}/csv", ["a"])
-    assert back.columns == ["b", "a"] and {r["b"] for r in back.collect()} == {"'=1+1", 'x,"y"'}
-    for n in (1, 2):
-        tables.append_jsonl(spark.createDataFrame([("k", n, n)], "k string, v int, seq long"), f"{path}/log")
-        tables.publish(spark.createDataFrame([(n,)], "v int"), f"{path}/table")
-    assert [r["v"] for r in tables.load_done(spark, f"{path}/log", "k string, v int, seq long", ["k"]).collect()] == [2]
-    assert [r["v"] for r in spark.read.parquet(f"{path}/table").collect()] == [2]
-
-
 def test_lookup(spark):
     found = review.dictionary_lookup(spark.createDataFrame([("K",), ("k2",), ("z",)], "a string"), spark.createDataFrame([("K", "1"), ("K2", "2")], "a string, v string"), "a", "v")
     assert {r["a"]: r["v"] for r in found.collect()} == {"K": "1", "k2": "2", "z": None}

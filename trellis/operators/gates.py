@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
-MATCH_RATIO, MATCH_LEAST, PEAK_IDF = 0.30, 2, 4.0
+MATCH_RATIO, MATCH_LEAST = 0.30, 2
 
 
 def age_gate(age: Column, group: Column) -> Column:
@@ -22,11 +20,6 @@ def sex_gate(sex: Column, only: Column) -> Column:
     return ~F.coalesce(sex != only, F.lit(False))
 
 
-def name_gate(name: Column, text: Column, requires: Column) -> Column:
-    """True if the text has any of the required words; an empty list never admits."""
-    return F.exists(requires, lambda w: text.contains(w))
-
-
 def match_ratio(cases: DataFrame, fields: DataFrame, case: str, term: str, row: str) -> DataFrame:
     """Rows that a case passes: at least two matched fields and 0.30 of the row's observable fields."""
     total = fields.select(row, term).distinct().groupBy(row).agg(F.count("*").alias("observable"))
@@ -35,17 +28,6 @@ def match_ratio(cases: DataFrame, fields: DataFrame, case: str, term: str, row:
     return out.filter((F.col("matched") >= MATCH_LEAST) & (F.col("ratio") >= MATCH_RATIO))
 
 
-def symptom_idf(fields: DataFrame, row: str, term: str) -> DataFrame:
-    """log(N / (1 + df)) of each term over all rows."""
-    n = fields.agg(F.count_distinct(row).alias("n"))
-    df = fields.groupBy(term).agg(F.count_distinct(row).alias("df"))
-    return df.crossJoin(F.broadcast(n)).select(term, "df", F.log(F.col("n") / (1.0 + F.col("df"))).alias("idf"))  # one row of totals
-
-
-def needed_matches(n: int) -> int:
-    return max(2, math.ceil(0.3 * n))
-
-
 def synonyms(clusters: DataFrame, name: str = "name", cluster: str = "cluster") -> DataFrame:
     """(a, b) of different names in one cluster, parentheses ignored."""
     key = F.trim(F.regexp_replace(F.lower(F.col(name)), r"\([^)]*\)", ""))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -160,12 +158,123 @@ def canonical_label(df: DataFrame, by: list[str], value: str) -> DataFrame:
     return grouped.select(*by, ranked[0]["v"].alias("label"))
 
 
-def batches(rows: Iterator, size: int) -> Iterator[list]:
-    held: list = []
-    for r in rows:
-        held.append(r)
-        if len(held) == size:
-            yield held
-            held = []
-    if held:
-        yield held
+def contains_best(left: DataFrame, right: DataFrame, left_key: str, right_key: str, k: int, least: int = 3) -> DataFrame:
+    """(left_key, right_key, rank): for each name the k shortest names that contain it as whole words (ties: by name).
+
+    Candidates share the name's first word, so that no pair of all names is built.
+    """
+    a = left.select(F.lower(left_key).alias("__a"), left_key).filter(F.length("__a") >= least).distinct()
+    b = right.select(F.lower(right_key).alias("__b"), right_key).distinct()
+    word = lambda c: F.filter(F.split(c, r"(?U)\W+"), lambda w: w != "")
+    pairs = a.withColumn("__w", F.try_element_at(word("__a"), F.lit(1))).join(b.withColumn("__w", F.explode(F.array_distinct(word("__b")))), "__w")
+    held = pairs.filter(F.rlike("__b", F.concat(F.lit(r"(?U)(?<!\w)\Q"), F.col("__a"), F.lit(r"\E(?!\w)"))))
+    w = Window.partitionBy(left_key).orderBy(F.length(right_key), right_key)
+    return held.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select(left_key, right_key, "rank")
+
+
+CONFIRMED, UNSURE = "xac_nhan", "can_xac_nhan"
+
+
+def disease_links(wanted: DataFrame, items: DataFrame, k: int) -> DataFrame:
+    """(name, item_id, status, sources) of wanted links (name, western, source, status) to items (item_id, title).
+
+    Equal titles keep the wanted status; without one the k shortest titles that contain it need to be confirmed.  Links
+    that several sources ask for are one, of the better status and with all their sources.
+    """
+    want = wanted.select("name", F.lower(F.trim("western")).alias("key"), "source", "status")
+    own = items.select("item_id", "title", F.lower(F.trim("title")).alias("key"))
+    exact = want.join(own.select("key", "item_id"), "key").select("name", "item_id", "source", "status")
+    rest = want.join(own.select("key"), "key", "left_anti")
+    near = contains_best(rest.select("key").distinct(), own.select("title").distinct(), "key", "title", k)
+    loose = rest.join(near.select("key", "title"), "key").join(own.select("title", "item_id"), "title").select("name", "item_id", "source", F.lit(UNSURE).alias("status"))
+    first = F.max(F.when(F.col("status") == CONFIRMED, 1).otherwise(0))
+    both = exact.unionByName(loose).groupBy("name", "item_id").agg(first.alias("sure"), F.array_join(F.sort_array(F.collect_set("source")), "+").alias("sources"))
+    return both.select("name", "item_id", F.when(F.col("sure") == 1, CONFIRMED).otherwise(UNSURE).alias("status"), "sources")
+
+
+def related_score(pairs: DataFrame, source: str, target: str, item: str, least: int, k: int, confirmed: DataFrame | None = None) -> DataFrame:
+    """``related`` with the share of the source's items that the target has; confirmed pairs are left out first."""
+    own = pairs.groupBy(source).agg(F.count_distinct(item).alias("__own"))
+    rest = pairs if confirmed is None else pairs.join(confirmed, [source, target], "left_anti")
+    out = related(rest, source, target, item, least, k).join(own, source)
+    return out.select(source, target, "shared", "rank", F.bround(F.col("shared") / F.col("__own"), 3).alias("score"))
+
+
+def union_first(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
+    """Rows of both, one a key: that of the first source that has it."""
+    both = first.withColumn("__source", F.lit(0)).unionByName(second.withColumn("__source", F.lit(1)))
+    return keep_best(both, [key], [F.col("__source"), *[F.col(c) for c in first.columns if c != key]]).drop("__source")
+
+
+def fused(left: DataFrame, right: DataFrame, case: str, syndrome: str, formula: str) -> DataFrame:
+    """(case, left, right, syndromes, formulas): the sorted syndromes of two observations alone and together, each formula once."""
+    own = lambda df, name: df.groupBy(case).agg(F.sort_array(F.collect_set(syndrome)).alias(name), F.collect_set(formula).alias(f"__{name}"))
+    both = own(left, "left").join(own(right, "right"), case, "full")
+    none = F.array().cast("array<string>")
+    a, b, x, y = (F.coalesce(c, none) for c in ("left", "right", "__left", "__right"))
+    return both.select(case, a.alias("left"), b.alias("right"), F.sort_array(F.array_union(a, b)).alias("syndromes"), F.sort_array(F.array_union(x, y)).alias("formulas"))
+
+
+def set_delta(old: Column, new: Column) -> Column:
+    """struct(added, removed, equal, disjoint) of two sets; sets without a member are not called disjoint."""
+    return F.struct(
+        F.sort_array(F.array_except(new, old)).alias("added"), F.sort_array(F.array_except(old, new)).alias("removed"),
+        ((F.size(F.array_except(new, old)) == 0) & (F.size(F.array_except(old, new)) == 0)).alias("equal"),
+        ((F.size(old) > 0) & (F.size(new) > 0) & ~F.arrays_overlap(old, new)).alias("disjoint"),
+    )
+
+
+def partition_verdicts(votes: DataFrame, members: DataFrame, item: str, voter: str, cluster: str, member: str, order: str) -> DataFrame:
+    """(item, partition, votes, verdict) of the partitions that voters made of an item's members.
+
+    A vote counts if it deals each member to one cluster and names no other.  The first two voters decide if they
+    agree, else all do; a partition needs two votes.  Verdict: same, different, mixed, or no_consensus.
+    """
+    sizes = members.select(item, member).distinct().groupBy(item).agg(F.count("*").alias("__size"))
+    known = votes.join(members.select(item, member).distinct().withColumn("__known", F.lit(1)), [item, member], "left")
+    checked = known.groupBy(item, voter).agg(F.count("*").alias("__rows"), F.count_distinct(member).alias("__named"), F.count("__known").alias("__good"), F.min(order).alias("__at"), F.count_distinct(cluster).alias("__clusters"))
+    valid = checked.join(sizes, item).filter("__rows = __named and __good = __rows and __named = __size")
+    keyed = partition_key(votes, [item, voter], cluster, member).join(valid.select(item, voter, "__at", "__clusters", "__size"), [item, voter])
+    nth = F.row_number().over(Window.partitionBy(item).orderBy("__at", voter))
+    keyed = keyed.withColumn("__nth", nth)
+    early = keyed.filter("__nth <= 2").groupBy(item).agg((F.count("*") == 2).alias("__two"), F.count_distinct("partition").alias("__kinds"))
+    used = keyed.join(early, item).filter(~((F.col("__two") & (F.col("__kinds") == 1)) & (F.col("__nth") > 2)))
+    tally = used.groupBy(item, "partition").agg(F.count("*").alias("votes"), F.min("__clusters").alias("__clusters"), F.min("__size").alias("__size"), F.min("__nth").alias("__first"))
+    best = keep_best(tally, [item], [F.desc("votes"), F.col("__first")]).filter("votes >= 2")
+    verdict = F.when(F.col("__clusters") == 1, "same").when(F.col("__clusters") == F.col("__size"), "different").otherwise("mixed")
+    out = best.select(item, "partition", "votes", verdict.alias("verdict"))
+    return sizes.select(item).join(out, item, "left").select(item, "partition", F.coalesce("votes", F.lit(0)).alias("votes"), F.coalesce("verdict", F.lit("no_consensus")).alias("verdict"))
+
+
+def code_consensus(votes: DataFrame, candidates: DataFrame, catalog: DataFrame, item: str) -> DataFrame:
+    """(item, kind, code, votes) of votes (item, voter, verdict, code): the outcome that two voters or more share.
+
+    A code outside the catalog makes a vote void; one that may not stand alone is an outcome of its own.  Kinds:
+    in_top5, outside_top5, ineligible_code, none, insufficient, no_consensus.
+    """
+    cat = catalog.select(F.col("code"), F.col("eligible"))
+    seen = votes.join(cat, "code", "left")
+    picks = F.col("verdict").isin("pick", "outside_top5")
+    outcome = F.when(picks & F.col("eligible"), F.col("code")).when(picks & ~F.col("eligible"), F.concat(F.lit("inel:"), "code")).when(~picks, F.col("verdict"))
+    valid = seen.withColumn("outcome", outcome).filter("outcome is not null")
+    tally = valid.groupBy(item, "outcome").agg(F.count("*").alias("votes"), F.max(F.when(picks, F.col("code"))).alias("code"), F.max("eligible").alias("eligible"))
+    best = keep_best(tally, [item], [F.desc("votes"), F.col("outcome")]).filter("votes >= 2")
+    top = candidates.select(item, "code").distinct().withColumn("__top", F.lit(True))
+    joined = votes.select(item).distinct().join(best, item, "left").join(top, [item, "code"], "left")
+    kind = (
+        F.when(F.col("outcome").isNull(), "no_consensus").when(F.col("outcome").startswith("inel:"), "ineligible_code").when(F.col("code").isNotNull() & F.col("__top"), "in_top5")
+        .when(F.col("code").isNotNull(), "outside_top5").when(F.col("outcome") == "none_correct", "none").otherwise("insufficient")
+    )
+    code = F.when(kind.isin("in_top5", "outside_top5"), F.col("code"))
+    return joined.select(item, kind.alias("kind"), code.alias("code"), F.coalesce("votes", F.lit(0)).alias("votes"))
+
+
+def quality_score(symptoms: Column, description: Column, cause: Column, core: list[Column], name: Column) -> Column:
+    """Points for symptoms (at most 20), lengths (at most 3000), filled core columns, and a name that its description has."""
+    length = lambda c: F.least(F.length(F.coalesce(c, F.lit(""))), F.lit(3000))
+    filled = sum((F.when(F.trim(F.coalesce(c, F.lit(""))) != "", 100).otherwise(0) for c in core), F.lit(0))
+    words = lambda c: F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), r"(?U)\W+"), lambda w: F.length(w) >= 2)
+    bare = F.regexp_replace(F.lower(name), r"(?U)^(bệnh|chứng|hội chứng)\s+", "")
+    head = words(F.substring(F.lower(F.coalesce(description, F.lit(""))), 1, 400))
+    named = (F.size(words(bare)) > 0) & F.forall(words(bare), lambda w: F.array_contains(head, w))
+    return F.least(symptoms, F.lit(20)) * 50 + length(description) / 6.0 + length(cause) / 10.0 + filled + F.when(named, 800).otherwise(0)

@@ -82,3 +82,30 @@ def recall_at_k(ranked: DataFrame, relevant: DataFrame, query: str, item: str, k
     """One row: queries with a relevant item, those that have one in the first k, and the share."""
     hit = ranked.filter(F.col("rank") <= k).join(relevant, [query, item], "left_semi").select(query).distinct().withColumn("hit", F.lit(1))
     return relevant.select(query).distinct().join(hit, query, "left").agg(F.count("*").alias("queries"), F.coalesce(F.sum("hit"), F.lit(0)).alias("hits")).withColumn("recall", F.round(F.col("hits") / F.col("queries"), 6))
+
+
+def shown(names: Column, most: int = 5) -> Column:
+    """The first names, and how many more there are."""
+    more = F.size(names) - most
+    return F.concat(F.array_join(F.slice(names, 1, most), ", "), F.when(more > 0, F.concat(F.lit(" (+"), more.cast("string"), F.lit(")"))).otherwise(""))
+
+
+def gold_report(ranked: DataFrame, cases: DataFrame, case: str, item: str, k: int) -> DataFrame:
+    """One row: recall at k, forbidden items that were ranked, expected ones that weren't, and the median rank.
+
+    ``cases`` has (case, kind, item): ``recall`` must be in the first k, ``forbid`` must not be ranked, ``expect`` must.
+    """
+    joined = cases.join(ranked.select(case, item, "rank"), [case, item], "left")
+    of = lambda kind: F.col("kind") == kind
+    return joined.agg(
+        F.count_if(of("recall")).alias("recalls"),
+        F.count_if(of("recall") & (F.col("rank") <= k)).alias("hits"),
+        F.count_if(of("forbid") & F.col("rank").isNotNull()).alias("forbidden"),
+        F.count_if(of("expect") & F.col("rank").isNull()).alias("missing"),
+        F.median(F.when(of("recall"), F.col("rank"))).alias("median_rank"),
+    )
+
+
+def in_order(df: DataFrame, order: list[Column], place: str = "place") -> DataFrame:
+    """``df`` with the place of each row in a total order; for reports and queues of a size that one task can hold."""
+    return df.withColumn(place, F.row_number().over(Window.orderBy(*order)))

@@ -44,11 +44,17 @@ def kg_cooccurrence_unscoped(spark, d):
     return G.cooccurrence(_members(spark, d), _seeds(spark, d), ["o_orderkey"], "p_name", "o_orderkey", 100)
 
 
-@query()
+_FOLD = f"""WITH RECURSIVE {_MEMBERS}, hit AS (SELECT DISTINCT o_orderkey, scope FROM members JOIN seeds USING (p_name)),
+    top AS (SELECT p_name, row_number() OVER (ORDER BY n DESC, p_name) AS k FROM (SELECT p_name, count(DISTINCT o_orderkey) AS n FROM members JOIN hit USING (o_orderkey, scope) WHERE p_name NOT IN (SELECT p_name FROM seeds) GROUP BY p_name ORDER BY n DESC, p_name LIMIT 100)),
+    fold(k, kept) AS (SELECT 0::BIGINT, []::VARCHAR[] UNION ALL SELECT top.k, CASE WHEN len(kept) >= 30 OR regexp_matches(p_name, '[0-9]') OR list_contains(kept, p_name) OR len(list_filter(kept, lambda x: contains(x, ' ') AND contains(p_name, x))) > 0 THEN kept ELSE list_append(kept, p_name) END FROM fold JOIN top ON top.k = fold.k + 1)
+    SELECT unnest(kept) AS p_name, generate_subscripts(kept, 1) - 1 AS place FROM (SELECT kept FROM fold ORDER BY k DESC LIMIT 1)"""
+
+
+@query(_FOLD)
 def kg_related_terms(spark, d):
-    """Flagship: the co-occurring names in order, without redundant ones, at most 30 (an order-dependent fold)."""
-    top = kg_cooccurrence_scoped(spark, d)
-    ordered = top.agg(F.sort_array(F.collect_list(F.struct((-F.col("frequency")).alias("f"), "p_name"))).alias("xs"))  # 100 rows at most
+    """Flagship: names that co-occur in scope (out of scope where there are none), in order, without redundant ones, at most 30."""
+    found = G.related_terms(_members(spark, d), _seeds(spark, d), ["o_orderkey", "scope"], ["o_orderkey"], "p_name", "o_orderkey")
+    ordered = found.agg(F.sort_array(F.collect_list(F.struct((-F.col("frequency")).alias("f"), "p_name"))).alias("xs"))  # 100 rows at most
     names = ordered.select(drop_redundant(F.col("xs.p_name")).alias("names"))
     return names.select(F.posexplode("names").alias("place", "p_name"))
 

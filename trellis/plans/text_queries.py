@@ -29,9 +29,9 @@ def rate_parse(spark, d):
     return table(spark, d, "events").select("event_id", least.alias("least"), most.alias("most"))
 
 
-@query()
+@query("""SELECT p_partkey, unnest(range(3)) AS place, unnest([p_name || ' (a, b)', ' ' || p_type || ')', ' [x, ' || p_brand || ']']) AS item FROM part""")
 def paren_split(spark, d):
-    text = F.concat("p_name", F.lit(" (a, b), "), "p_type", F.lit("), x"))
+    text = F.concat("p_name", F.lit(" (a, b), "), "p_type", F.lit("), [x, "), "p_brand", F.lit("]"))
     return table(spark, d, "part").select("p_partkey", F.posexplode(T.paren_split(text)).alias("place", "item"))
 
 
