@@ -33,3 +33,36 @@ def test_documents_that_hold_an_item(spark):
     want = {(i, d) for i, t in items for d, b in docs if t is not None and b is not None and t in b}
     rows = [(r["item_id"], r["doc_id"]) for r in got.collect()]
     assert set(rows) == want and len(rows) == len(want)
+
+
+def test_content_clusters(spark, monkeypatch):
+    """Clusters of every pair that is equal or alike, with blocks cut into tiles and not."""
+    import random
+
+    rng = random.Random(3)
+    word = lambda: rng.choice("abcdefghijklmnop") * rng.randint(2, 6)
+    rows, base = [], [[word() for _ in range(40)] for _ in range(6)]
+    for k in range(60):
+        words = list(rng.choice(base))
+        for _ in range(rng.choice([0, 2, 30])):
+            words[rng.randrange(40)] = word()
+        rows.append((k, "b" + str(k % 3), " ".join(words) if k % 7 else " ".join(words[:3]), [rng.choice("uvwxyz") for _ in range(rng.randint(0, 5))], k % 2))
+    rows.append((99, "alone", None, None, 1))
+    df = spark.createDataFrame(rows, "id long, block string, text string, items array<string>, n int")
+    root = {r[0]: r[0] for r in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    one = lambda r: (r[2] or "", frozenset(r[3] or []), (str(r[4]),))
+    for a in rows:
+        for b in rows:
+            if a[1] == b[1] and a[0] < b[0] and link._alike(one(a), one(b), 0.5, 600):
+                x, y = find(a[0]), find(b[0])
+                root[max(x, y)] = min(x, y)
+    for tile in (256, 4):
+        monkeypatch.setattr(link, "TILE", tile)
+        got = {r["id"]: r["cluster"] for r in link.content_clusters(df, "block", "id", "text", "items", ["n"]).collect()}
+        assert got == {k: find(k) for k in root}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import difflib
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,15 +47,6 @@ def partition_key(members: DataFrame, voter: list[str], block: str, member: str)
     return blocks.groupBy(*voter).agg(F.array_join(F.sort_array(F.collect_list("__b")), "|").alias("partition"))
 
 
-def bridge(left: DataFrame, right: DataFrame, key: str, cap: int) -> DataFrame:
-    """Equi-join on a key that keeps a left row only while it meets at most ``cap`` partners.
-
-    Partners are counted before the join, so hubs are never expanded.
-    """
-    fan = right.groupBy(key).agg(F.count("*").alias("__fan")).filter(F.col("__fan") <= cap)
-    return left.join(fan, key).join(right, key).drop("__fan")
-
-
 def name_bridge(left: DataFrame, right: DataFrame, left_key: str, right_key: str, cap: int, least: int = 4, deny: list[str] | None = None) -> DataFrame:
     """(left_key, right_key, method) between the distinct names of both sides: exact links, and substring links in either direction.
 
@@ -98,52 +91,80 @@ def precedence(base: DataFrame, sources: list[tuple[str, DataFrame]], key: str,
     return out.select(key, F.when(~no, first).alias(value), F.when(no, "rejected").otherwise(origin).alias("origin"))
 
 
-def content_clusters(df: DataFrame, block: str, key: str, text: str, least: float = 0.5, prefix: int = 600) -> DataFrame:
-    """(key, cluster) within each block: texts alike by sequence ratio or by word sets; a cluster has its least key.
+TILE = 256
 
-    Blocks are equal names and so small; a block is one task's group.
-    """
-    import difflib
 
-    def alike(a: str, b: str) -> bool:
-        if a == b:
+def _alike(a: tuple, b: tuple, least: float, prefix: int) -> bool:
+    """Two rows (text, items, other values) of one name: equal, alike by sequence or words, or with alike item sets."""
+    if a == b:
+        return True
+    (x, u, _), (y, v, _) = a, b
+    if len(x) >= 80 and len(y) >= 80:
+        s, t = set(x.split()), set(y.split())
+        if min(len(s), len(t)) >= 20 and len(s & t) / len(s | t) >= 0.55:
             return True
-        if len(a) < 80 or len(b) < 80:
-            return False
-        u, v = set(a.split()), set(b.split())
-        if min(len(u), len(v)) >= 20 and len(u & v) / len(u | v) >= 0.55:
-            return True
-        x, y = a[:prefix], b[:prefix]
-        for p, q in ((x, y), (y, x)):  # the ratio depends on the order of the two
+        for p, q in ((x[:prefix], y[:prefix]), (y[:prefix], x[:prefix])):  # the ratio depends on the order of the two
             m = difflib.SequenceMatcher(None, p, q, autojunk=False)
             # Two upper bounds that cost little come first.
             if m.real_quick_ratio() >= least and m.quick_ratio() >= least and m.ratio() >= least:
                 return True
-        return False
+    return len(u) >= 3 and len(v) >= 3 and len(u & v) / len(u | v) >= 0.6
+
+
+class _Forest:
+    def __init__(self, keys):
+        self.root = {k: k for k in keys}
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys, texts = pdf[key].tolist(), pdf[text].fillna("").tolist()
-        root = {k: k for k in keys}
+    def find(self, k):
+        while self.root[k] != k:
+            self.root[k] = k = self.root[self.root[k]]
+        return k
 
-        def find(k):
-            while root[k] != k:
-                k = root[k]
-            return k
+    def join(self, a, b) -> None:
+        a, b = self.find(a), self.find(b)
+        self.root[max(a, b)] = min(a, b)
 
-        for i, a in enumerate(keys):
-            for j in range(i + 1, len(keys)):
-                x, y = find(a), find(keys[j])
-                if x != y and alike(texts[i], texts[j]):
-                    root[max(x, y)] = min(x, y)
-        return pd.DataFrame({key: keys, "cluster": [find(k) for k in keys]})
 
+def content_clusters(df: DataFrame, block: str, key: str, text: str, items: str | None = None, others: list[str] = (), least: float = 0.5, prefix: int = 600) -> DataFrame:
+    """(key, cluster) within each block: rows that are equal or alike by text or item sets; a cluster has its least key.
+
+    A block is dealt into tiles of about TILE rows; each pair of tiles is a task of its own that finds the links
+    between its rows, so that a large block is compared by many tasks.  One task a block then joins links alone.
+    """
     kind = df.schema[key].dataType.simpleString()
-    rows = df.select(block, key, text)
+    none = F.array().cast("array<string>")
+    rows = df.select(block, key, F.coalesce(F.col(text), F.lit("")).alias("__t"), F.coalesce(F.col(items), none).alias("__i") if items else none.alias("__i"), F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in others]).cast("array<string>").alias("__o"))
     sizes = rows.groupBy(block).agg(F.count("*").alias("__n"), F.min(key).alias("__only"))
     # A row alone in its block is its own cluster, and never leaves the JVM.
     alone = sizes.filter("__n = 1").select(F.col("__only").alias(key), F.col("__only").alias("cluster"))
-    shared = rows.join(sizes.filter("__n > 1").select(block), block)
-    return shared.groupBy(block).applyInPandas(run, f"{key} {kind}, cluster {kind}").unionByName(alone)
+    tiles = F.ceil(F.col("__n") / TILE).cast("int")
+    dealt = rows.join(sizes.filter("__n > 1").select(block, "__n"), block).withColumn("__own", F.pmod(F.xxhash64(key), tiles).cast("int")).withColumn("__other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+    dealt = dealt.withColumn("__a", F.least("__own", "__other")).withColumn("__b", F.greatest("__own", "__other")).drop("__n", "__other")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        keys, own = pdf[key].tolist(), pdf["__own"].tolist()
+        parts = [(t, frozenset(i), tuple(o)) for t, i, o in zip(pdf["__t"], pdf["__i"], pdf["__o"], strict=True)]
+        cross = pdf["__a"].iloc[0] != pdf["__b"].iloc[0]
+        forest, left, right = _Forest(keys), [], []
+        for i in range(len(keys)):
+            for j in range(i):
+                if (own[i] != own[j]) == cross and forest.find(keys[i]) != forest.find(keys[j]) and _alike(parts[i], parts[j], least, prefix):
+                    forest.join(keys[i], keys[j])
+                    left.append(keys[i])
+                    right.append(keys[j])
+        return pd.DataFrame({block: [pdf[block].iloc[0]] * len(left), "u": left, "v": right}, dtype=object)
+
+    links = dealt.groupBy(block, "__a", "__b").applyInPandas(compare, f"{block} {df.schema[block].dataType.simpleString()}, u {kind}, v {kind}")
+
+    def unite(pdf: pd.DataFrame) -> pd.DataFrame:
+        forest = _Forest({*pdf["u"], *pdf["v"]})
+        for u, v in zip(pdf["u"], pdf["v"], strict=True):
+            forest.join(u, v)
+        return pd.DataFrame({key: list(forest.root), "cluster": [forest.find(k) for k in forest.root]}, dtype=object)
+
+    linked = links.groupBy(block).applyInPandas(unite, f"{key} {kind}, cluster {kind}")
+    shared = rows.join(sizes.filter("__n > 1").select(block), block).select(key).join(linked, key, "left").select(key, F.coalesce("cluster", key).alias("cluster"))
+    return shared.unionByName(alone)
 
 
 def canonical_label(df: DataFrame, by: list[str], value: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
@@ -31,32 +33,50 @@ def _is_bigram(c: str = "feature") -> Column:
     return F.col(c).startswith("b:")
 
 
-def bm25_index(docs: DataFrame, doc: str, fields: dict[str, tuple[Column, float]]) -> DataFrame:
-    """(doc, feature, impact, idf, df) of documents whose ``fields`` are feature arrays with boosts."""
-    rows = None
+@dataclass
+class Bm25Index:
+    """Postings (doc, feature, tf) and document frequencies of the features that queries ask for, and all lengths."""
+
+    postings: DataFrame
+    features: DataFrame
+    lengths: DataFrame
+
+
+def bm25_index(docs: DataFrame, doc: str, fields: dict[str, tuple[Column, float]], wanted: DataFrame) -> Bm25Index:
+    """Index of documents whose ``fields`` are feature arrays with boosts, for the ``wanted`` (feature) rows.
+
+    A document's length needs the numbers of its features only.  Features that no query has are left out where they
+    are exploded, before anything is shuffled.
+    """
+    weight = lambda c: F.when(c.startswith("b:"), BIGRAM_DOC).otherwise(1.0)
+    rows, size = None, F.lit(0.0)
     for features, boost in fields.values():
-        part = docs.select(doc, F.explode(features).alias("feature"), F.lit(boost).alias("boost"))
+        pairs = F.size(F.filter(features, lambda f: f.startswith("b:")))
+        size = size + boost * ((F.size(features) - pairs) + BIGRAM_DOC * pairs)
+        part = docs.select(doc, F.explode(features).alias("feature")).withColumn("boost", F.lit(boost))
         rows = part if rows is None else rows.unionByName(part)
-    weight = F.sum(F.col("boost") * F.when(_is_bigram(), BIGRAM_DOC).otherwise(1.0))
-    tf = rows.groupBy(doc, "feature").agg(weight.alias("tf"))
-    length = tf.groupBy(doc).agg(F.sum("tf").alias("length"))
-    every = docs.select(doc).distinct().join(length, doc, "left").select(doc, F.coalesce("length", F.lit(1.0)).alias("length"))
-    stats = every.agg(F.avg("length").alias("mean"), F.count("*").alias("n"))
-    df = tf.groupBy("feature").agg(F.count("*").alias("df"))
-    joined = tf.join(df, "feature").join(every, doc).crossJoin(F.broadcast(stats))  # one row of totals
+    asked = wanted.select("feature").distinct()
+    postings = rows.join(asked, "feature", "left_semi").groupBy(doc, "feature").agg(F.sum(F.col("boost") * weight(F.col("feature"))).alias("tf"))
+    lengths = docs.select(doc, size.alias("length")).groupBy(doc).agg(F.sum("length").alias("length")).select(doc, F.when(F.col("length") > 0, F.col("length")).otherwise(1.0).alias("length"))
+    stats = lengths.agg(F.count("*").alias("n"))
     idf = F.log(1.0 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = K1 * (1.0 - B + B * F.col("length") / F.col("mean"))
-    return joined.withColumn("idf", idf).select(doc, "feature", "df", "idf", (F.col("idf") * F.col("tf") * (K1 + 1.0) / (F.col("tf") + norm)).alias("impact"))
+    df = postings.groupBy("feature").agg(F.count("*").alias("df")).crossJoin(F.broadcast(stats)).select("feature", "df", idf.alias("idf"))  # one row of totals
+    return Bm25Index(postings, df, lengths)
 
 
-def bm25_plan(queries: DataFrame, index: DataFrame, query: str, fields: dict[str, tuple[Column, float, int]], least: int = 2, budget: int = 72) -> DataFrame:
-    """(query, feature, multiplier): the rarest features of each field, at least two, then within a global budget."""
+def query_features(queries: DataFrame, query: str, fields: dict[str, tuple[Column, float, int]]) -> DataFrame:
+    """(query, field, feature, boost, most): a row for each feature of each field."""
     rows = None
     for name, (features, boost, limit) in fields.items():
-        part = queries.select(query, F.lit(name).alias("field"), F.explode(features).alias("feature"), F.lit(boost).alias("boost"), F.lit(limit).alias("most"))
+        part = queries.select(query, F.lit(name).alias("field"), F.explode(features).alias("feature")).withColumns({"boost": F.lit(boost), "most": F.lit(limit)})
         rows = part if rows is None else rows.unionByName(part)
-    counts = rows.groupBy(query, "field", "feature", "boost", "most").agg(F.count("*").alias("qf"))
-    known = index.select("feature", "df", "idf").distinct().filter((F.col("df") <= MAX_POSTING) & (F.col("idf") >= MIN_IDF))
+    return rows
+
+
+def bm25_plan(asked: DataFrame, index: Bm25Index, query: str, least: int = 2, budget: int = 72) -> DataFrame:
+    """(query, feature, idf, multiplier): the rarest features of each field, at least two, then within a global budget."""
+    counts = asked.groupBy(query, "field", "feature", "boost", "most").agg(F.count("*").alias("qf"))
+    known = index.features.filter((F.col("df") <= MAX_POSTING) & (F.col("idf") >= MIN_IDF))
     multiplier = F.col("boost") * (1.0 + F.log("qf")) * F.when(_is_bigram(), BIGRAM_QUERY).otherwise(1.0)
     ranked = counts.join(known, "feature").withColumn("multiplier", multiplier).withColumn("priority", F.col("multiplier") * F.col("idf"))
     in_field = Window.partitionBy(query, "field").orderBy(F.desc("priority"), "feature")
@@ -64,12 +84,16 @@ def bm25_plan(queries: DataFrame, index: DataFrame, query: str, fields: dict[str
     kept = F.col("nth") <= least
     order = Window.partitionBy(query).orderBy(F.when(kept, 0).otherwise(1), F.desc("priority"), "field", "feature")
     chosen = ranked.withColumn("place", F.row_number().over(order)).filter(kept | (F.col("place") <= budget))
-    return chosen.groupBy(query, "feature").agg(F.sum("multiplier").alias("multiplier"))
+    return chosen.groupBy(query, "feature").agg(F.sum("multiplier").alias("multiplier"), F.first("idf").alias("idf"))
 
 
-def bm25_top(plan: DataFrame, index: DataFrame, query: str, doc: str, k: int = 5, exact: DataFrame | None = None) -> DataFrame:
+def bm25_top(plan: DataFrame, index: Bm25Index, query: str, doc: str, k: int = 5, exact: DataFrame | None = None) -> DataFrame:
     """The best k documents of each query by rounded score, ties by document; ``exact`` has (query, doc, hits) bonuses."""
-    total = plan.join(index.select(doc, "feature", "impact"), "feature").groupBy(query, doc).agg(F.sum(F.col("multiplier") * F.col("impact")).alias("bm25"))
+    mean = index.lengths.agg(F.avg("length").alias("mean"))
+    norm = K1 * (1.0 - B + B * F.col("length") / F.col("mean"))
+    met = plan.join(index.postings, "feature").join(index.lengths, doc).crossJoin(F.broadcast(mean))  # one row of totals
+    impact = F.col("idf") * F.col("tf") * (K1 + 1.0) / (F.col("tf") + norm)
+    total = met.groupBy(query, doc).agg(F.sum(F.col("multiplier") * impact).alias("bm25"))
     if exact is not None:
         total = total.join(exact, [query, doc], "full").select(query, doc, F.coalesce("bm25", F.lit(0.0)).alias("bm25"), (F.coalesce("hits", F.lit(0)) * EXACT_BONUS).alias("bonus"))
     else:

@@ -71,12 +71,12 @@ def kg_scoped_multihop(spark, d):
 
 
 @query("""WITH f AS (SELECT s_suppkey, s_nationkey, p_type, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS brands
-    FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey AND l_quantity >= 49 LEFT JOIN part ON p_partkey = l_partkey AND p_size < 10 GROUP BY ALL)
+    FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey AND l_quantity >= 2 LEFT JOIN part ON p_partkey = l_partkey AND p_size < 50 GROUP BY ALL)
     SELECT n_name, coalesce(string_agg(DISTINCT p_type || ':' || coalesce(brands, ''), '|' ORDER BY p_type || ':' || coalesce(brands, '')), '') AS formulas, count(DISTINCT s_suppkey) AS suppliers
     FROM nation LEFT JOIN f ON s_nationkey = n_nationkey AND n_regionkey < 4 GROUP BY n_name""")
 def kg_optional_collect(spark, d):
-    lines = table(spark, d, "lineitem").filter("l_quantity >= 49").select("l_suppkey", "l_partkey")
-    parts = table(spark, d, "part").filter("p_size < 10").select("p_partkey", "p_type", "p_brand")
+    lines = table(spark, d, "lineitem").filter("l_quantity >= 2").select("l_suppkey", "l_partkey")
+    parts = table(spark, d, "part").filter("p_size < 50").select("p_partkey", "p_type", "p_brand")
     s = G.optional_match(table(spark, d, "supplier").select("s_suppkey", "s_nationkey"), lines, F.col("l_suppkey") == F.col("s_suppkey"))
     s = G.optional_match(s, parts, F.col("p_partkey") == F.col("l_partkey"))
     inner = s.groupBy("s_suppkey", "s_nationkey", "p_type").agg(F.array_join(F.sort_array(F.collect_set("p_brand")), ",").alias("brands"))
@@ -223,12 +223,6 @@ def facet_lookup(spark, d):
     return out.groupBy("n_name").agg(array_key(F.collect_set("r_name")).alias("facets"))
 
 
-@query("""SELECT count(DISTINCT l_orderkey) AS bridged FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey JOIN customer ON c_nationkey = s_nationkey AND c_acctbal > 9000 WHERE p_size = 1""")
-def kg_bridge_three_hops(spark, d):
-    """Over a slice, as the SQL has it; ``kg_bridge_whole`` takes all parts and customers."""
-    return _three_hops(spark, d, "p_size = 1", "c_acctbal > 9000")
-
-
 @query("""SELECT count(DISTINCT l_orderkey) AS bridged FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey WHERE s_nationkey IN (SELECT c_nationkey FROM customer)""")
 def kg_bridge_whole(spark, d):
     return _three_hops(spark, d, "true", "true")

@@ -30,6 +30,7 @@ def dedup_keep_richest(spark, d):
 
 @query()
 def content_clusters(spark, d):
+    """Texts alike within a first sentence; the ratio of sequences has no SQL, the tests hold it against all pairs."""
     docs = table(spark, d, "documents").select("doc_id", F.concat_ws("|", "lang", F.regexp_extract("text", r"^([^.\n]*)", 1)).alias("block"), F.lower("text").alias("text"))
     return link.content_clusters(docs, "block", "doc_id", "text").select("doc_id", "cluster")
 
@@ -93,16 +94,6 @@ def latest_wins(spark, d):
     return link.latest_wins(table(spark, d, "events"), ["user_id", "event_type"], [F.desc("ts"), F.desc("event_id")]).select("user_id", "event_type", "event_id")
 
 
-@query("""WITH w AS (SELECT DISTINCT item_id, unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+')) AS word FROM benchmark), f AS (SELECT word FROM w WHERE word <> '' GROUP BY word HAVING count(*) <= 5),
-    x AS (SELECT DISTINCT doc_id, unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+')) AS word FROM documents)
-    SELECT doc_id, count(*) AS links, count(DISTINCT item_id) AS items FROM x JOIN f USING (word) JOIN w USING (word) GROUP BY doc_id""")
-def bridge_fanout_cap(spark, d):
-    """Not the reference's bridge: exact links are capped, as the SQL has it; ``bridge_exact_substring`` has its rule."""
-    words = lambda df, key: df.select(key, F.explode(F.array_distinct(tokens(F.col("text")))).alias("word"))
-    out = link.bridge(words(table(spark, d, "documents"), "doc_id"), words(table(spark, d, "benchmark"), "item_id"), "word", 5)
-    return out.groupBy("doc_id").agg(F.count("*").alias("links"), F.count_distinct("item_id").alias("items"))
-
-
 @query("""WITH l AS (SELECT DISTINCT unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+')) AS word FROM documents), r AS (SELECT DISTINCT unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+')) AS name FROM benchmark),
     s AS (SELECT word, name FROM l JOIN r ON word <> name AND length(word) >= 4 AND length(name) >= 4 AND (contains(word, name) OR contains(name, word))), f AS (SELECT word FROM s GROUP BY word HAVING count(*) <= 5)
     SELECT word, name, 'exact' AS method FROM l JOIN r ON word = name WHERE word <> '' UNION ALL SELECT word, name, 'substring' FROM s JOIN f USING (word)""")
@@ -112,14 +103,6 @@ def bridge_exact_substring(spark, d):
     return link.name_bridge(words(table(spark, d, "documents"), "word"), words(table(spark, d, "benchmark"), "name"), "word", "name", 5)
 
 
-@query("""WITH p AS (SELECT DISTINCT c_nationkey AS source, p_brand AS target, p_name AS item FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey WHERE l_quantity > 45),
-    s AS (SELECT source, target, count(*) AS shared FROM p GROUP BY ALL HAVING count(*) >= 2)
-    SELECT source, target, shared, rank FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY shared DESC, target) AS rank FROM s) WHERE rank <= 3""")
-def related_links_topk(spark, d):
-    """Over a slice, as the SQL has it; ``related_links_whole`` takes all lines."""
-    return _related_links(spark, d, table(spark, d, "lineitem").filter("l_quantity > 45"))
-
-
 @query("""WITH p AS (SELECT DISTINCT c_nationkey AS source, p_brand AS target, p_name AS item FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey),
     s AS (SELECT source, target, count(*) AS shared FROM p GROUP BY ALL HAVING count(*) >= 2)
     SELECT source, target, shared, rank FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY shared DESC, target) AS rank FROM s) WHERE rank <= 3""")
@@ -134,12 +117,12 @@ def _related_links(spark, d, lines):
     return link.related(rows.select(F.col("c_nationkey").alias("source"), F.col("p_brand").alias("target"), F.col("p_name").alias("item")), "source", "target", "item", 2, 3)
 
 
-def _bm25(spark, d):
+def _bm25(spark, d, exact=None):
     docs = table(spark, d, "documents").select("doc_id", features(tokens(F.col("text"), STOP)).alias("f"))
-    index = rank.bm25_index(docs, "doc_id", {"text": (F.col("f"), 2.0)})
     items = table(spark, d, "benchmark").select("item_id", features(tokens(F.col("text"), STOP)).alias("f"))
-    plan = rank.bm25_plan(items, index, "item_id", {"text": (F.col("f"), 5.0, 16)})
-    return rank.bm25_top(plan, index, "item_id", "doc_id", 5)
+    asked = rank.query_features(items, "item_id", {"text": (F.col("f"), 5.0, 16)})
+    index = rank.bm25_index(docs, "doc_id", {"text": (F.col("f"), 2.0)}, asked)
+    return rank.bm25_top(rank.bm25_plan(asked, index, "item_id"), index, "item_id", "doc_id", 5, exact)
 
 
 _STOP_SQL = "[" + ", ".join(f"'{w}'" for w in STOP) + "]"
@@ -172,19 +155,34 @@ def recall_at_k(spark, d):
     return rank.recall_at_k(_bm25(spark, d), relevant, "item_id", "doc_id", 3)
 
 
+_EXACT = """, ex AS (SELECT item_id, doc_id, 1 + (lower(d.text) = lower(b.text))::INT AS hits FROM benchmark b JOIN documents d ON contains(d.text, b.text)),
+    sx AS (SELECT item_id, doc_id, round(coalesce(score, 0) + coalesce(hits, 0) * 10000, 6) AS score FROM sc FULL JOIN ex USING (item_id, doc_id)), t2 AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM sx)
+    SELECT item_id, doc_id, rank FROM t2 WHERE rank <= 5"""
+
+
+@query(_BM25 + _EXACT)
+def bm25_exact_bonus(spark, d):
+    """Documents that hold an item come before all others; of those with a bonus alike, the better score does."""
+    bodies = table(spark, d, "documents").select("doc_id", F.col("text").alias("body"))
+    items = table(spark, d, "benchmark")
+    held = _holding(items, bodies).join(items, "item_id").join(bodies, "doc_id")
+    hits = held.select("item_id", "doc_id", F.when(F.lower("body") == F.lower("text"), 2).otherwise(1).alias("hits"))
+    return _bm25(spark, d, hits).select("item_id", "doc_id", "rank")
+
+
 def _holding(items, docs):
     """(item_id, doc_id) of the documents whose body contains the item's text."""
-    # Candidates share five words near the item's start; the substring test then decides.
-    pair = lambda w: F.explode(F.element_at(F.transform(F.array(w), lambda v: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(v) - 4, F.lit(1))), lambda i: F.concat_ws(" ", F.slice(v, i, F.lit(5)))))), 1))
-    head = lambda w: F.concat_ws(" ", F.slice(w, 2, 5))
+    # Candidates share five words near the item's start.  Ids and seeds meet alone; bodies are fetched for those that did.
+    windows = lambda w: F.explode(F.element_at(F.transform(F.array(w), lambda v: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(v) - 4, F.lit(1))), lambda i: F.concat_ws(" ", F.slice(v, i, F.lit(5)))))), 1))
     words = F.split("text", r"[ \n]+")
     # Words 2 to 6 stand whole in the document if a seventh follows; shorter items meet every document.
     long = F.size(words) > 6
-    q = items.filter(long).select("item_id", "text", head(words).alias("seed"))
-    short = items.filter(~long).select("item_id", "text").join(docs, F.col("body").contains(F.col("text")))
-    c = docs.select("doc_id", "body", pair(F.split("body", r"[ \n]+")).alias("seed"))
-    found = q.join(c, "seed").filter(F.col("body").contains(F.col("text"))).select("item_id", "doc_id")
-    return found.unionByName(short.select("item_id", "doc_id")).distinct()
+    q = items.filter(long).select("item_id", "text", F.concat_ws(" ", F.slice(words, 2, 5)).alias("seed"))
+    short = items.filter(~long).select("item_id", "text").join(docs, F.col("body").contains(F.col("text"))).select("item_id", "doc_id")
+    seeds = docs.select("doc_id", windows(F.split("body", r"[ \n]+")).alias("seed"))
+    met = seeds.join(q.select("item_id", "seed"), "seed").select("item_id", "doc_id").distinct()
+    held = met.join(q.select("item_id", "text"), "item_id").join(docs, "doc_id").filter(F.col("body").contains(F.col("text"))).select("item_id", "doc_id")
+    return held.unionByName(short).distinct()
 
 
 @query("""WITH n AS (SELECT doc_id, lower(text) AS k FROM documents), u AS (SELECT k, min(doc_id) AS doc_id FROM n GROUP BY k HAVING count(*) = 1)
@@ -203,15 +201,6 @@ def canonical_label(spark, d):
     return link.canonical_label(table(spark, d, "documents").select("lang", F.col("source").alias("v")), ["lang"], "v")
 
 
-@query("""WITH f AS (SELECT DISTINCT s_suppkey AS row_id, p_type || '/' || p_size % 5 AS term FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey WHERE l_quantity = 50),
-    q AS (SELECT DISTINCT c_nationkey AS case_id, p_type || '/' || p_size % 5 AS term FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN part ON p_partkey = l_partkey WHERE l_quantity = 1 AND l_tax = 0),
-    t AS (SELECT row_id, count(*) AS observable FROM f GROUP BY 1), m AS (SELECT case_id, row_id, count(*) AS matched FROM q JOIN f USING (term) GROUP BY ALL)
-    SELECT row_id, case_id, matched, observable, round(matched / observable, 6) AS ratio FROM m JOIN t USING (row_id) WHERE matched >= 2 AND matched / observable >= 0.30""")
-def match_ratio_gate(spark, d):
-    """Over a slice, as the SQL has it; ``match_ratio_whole`` takes all lines on both sides."""
-    return _match_ratio(spark, d, "l_quantity = 50", "l_quantity = 1 and l_tax = 0")
-
-
 @query("""WITH l AS (SELECT l_orderkey, l_suppkey, p_type || '/' || p_size % 5 AS term FROM lineitem JOIN part ON p_partkey = l_partkey), f AS (SELECT DISTINCT l_suppkey AS row_id, term FROM l),
     q AS (SELECT DISTINCT c_nationkey AS case_id, term FROM l JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey),
     t AS (SELECT row_id, count(*) AS observable FROM f GROUP BY 1), m AS (SELECT case_id, row_id, count(*) AS matched FROM q JOIN f USING (term) GROUP BY ALL)

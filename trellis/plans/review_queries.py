@@ -31,16 +31,6 @@ def dictionary_lookup(spark, d):
     return review.dictionary_lookup(rows, nation.select("n_name", F.col("n_nationkey").alias("code")), "n_name", "code")
 
 
-@query("""WITH known AS (SELECT * FROM part WHERE p_partkey % 5 = 0), a AS (SELECT p_brand, p_size, min(p_partkey) AS v FROM known GROUP BY ALL), b AS (SELECT p_brand, min(p_partkey) AS v FROM known GROUP BY ALL)
-    SELECT p.p_partkey, p.p_brand, p.p_size, coalesce(a.v, b.v) AS pick, CASE WHEN a.v IS NOT NULL THEN 0 WHEN b.v IS NOT NULL THEN 1 END AS tier
-    FROM part p LEFT JOIN a ON a.p_brand = p.p_brand AND a.p_size = p.p_size LEFT JOIN b ON b.p_brand = p.p_brand WHERE p.p_partkey % 5 <> 0""")
-def tiered_match(spark, d):
-    """Split by id, as the SQL has it; ``tiered_match_whole`` splits by a column."""
-    part = table(spark, d, "part").select("p_partkey", "p_brand", "p_size")
-    known = part.filter("p_partkey % 5 = 0").withColumn("pick", F.col("p_partkey"))
-    return review.tiered_match(part.filter("p_partkey % 5 <> 0"), known, [["p_brand", "p_size"], ["p_brand"]], "pick", "p_partkey")
-
-
 @query("""WITH known AS (SELECT * FROM part WHERE p_type = 'SMALL'), a AS (SELECT p_brand, p_size, min(p_partkey) AS v FROM known GROUP BY ALL), b AS (SELECT p_brand, min(p_partkey) AS v FROM known GROUP BY ALL)
     SELECT p.p_partkey, p.p_brand, p.p_size, coalesce(a.v, b.v) AS pick, CASE WHEN a.v IS NOT NULL THEN 0 WHEN b.v IS NOT NULL THEN 1 END AS tier
     FROM part p LEFT JOIN a ON a.p_brand = p.p_brand AND a.p_size = p.p_size LEFT JOIN b ON b.p_brand = p.p_brand""")
@@ -51,16 +41,6 @@ def tiered_match_whole(spark, d):
     return review.tiered_match(part, known, [["p_brand", "p_size"], ["p_brand"]], "pick", "p_partkey")
 
 
-@query("""WITH old AS (SELECT o_orderkey AS k, CASE WHEN o_orderstatus = 'P' OR o_orderkey % 7 = 0 THEN 'pending' ELSE o_orderstatus END AS a FROM orders WHERE o_orderkey % 3 <> 0),
-    new AS (SELECT o_orderkey AS k, o_orderpriority LIKE '1%' OR o_orderpriority LIKE '2%' AS s, CASE WHEN o_orderkey % 5 = 0 THEN ' ' ELSE 'seen' END AS note, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus ELSE 'O' END AS b FROM orders WHERE o_orderkey % 4 <> 0),
-    m AS (SELECT coalesce(old.k, new.k) AS k, a, b, CASE WHEN b IS NULL THEN 'kept' WHEN a IS NULL THEN 'insert' WHEN a = b THEN 'unchanged' WHEN a = 'pending' THEN 'replace' WHEN s AND trim(note) <> '' THEN 'supersede' ELSE 'conflict' END AS action FROM old FULL JOIN new ON old.k = new.k)
-    SELECT k AS o_orderkey, action, CASE WHEN action IN ('kept', 'unchanged', 'conflict') THEN a ELSE b END AS decision FROM m""")
-def review_merge(spark, d):
-    """Split by id, as the SQL has it: multiples of 12 are on neither side; ``review_merge_whole`` has all orders."""
-    orders = table(spark, d, "orders")
-    return _review_merge(orders.filter("o_orderkey % 3 <> 0"), orders.filter("o_orderkey % 4 <> 0"))
-
-
 @query("""WITH old AS (SELECT o_orderkey AS k, CASE WHEN o_orderstatus = 'P' OR o_orderkey % 7 = 0 THEN 'pending' ELSE o_orderstatus END AS a FROM orders WHERE o_orderpriority NOT LIKE '5%'),
     new AS (SELECT o_orderkey AS k, o_orderpriority LIKE '1%' OR o_orderpriority LIKE '2%' AS s, CASE WHEN o_orderkey % 5 = 0 THEN ' ' ELSE 'seen' END AS note, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus ELSE 'O' END AS b FROM orders WHERE o_orderpriority NOT LIKE '4%'),
     m AS (SELECT coalesce(old.k, new.k) AS k, a, b, CASE WHEN b IS NULL THEN 'kept' WHEN a IS NULL THEN 'insert' WHEN a = b THEN 'unchanged' WHEN a = 'pending' THEN 'replace' WHEN s AND trim(note) <> '' THEN 'supersede' ELSE 'conflict' END AS action FROM old FULL JOIN new ON old.k = new.k)

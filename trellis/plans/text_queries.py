@@ -82,12 +82,6 @@ def paren_free_key(spark, d):
     return table(spark, d, "part").select("p_partkey", paren_free(F.concat("p_name", F.lit(" ("), "p_brand", F.lit(") "))).alias("k"))
 
 
-@query("SELECT doc_id, 'DOC-' || lpad(row_number() OVER (ORDER BY doc_id)::VARCHAR, 5, '0') AS dense_id FROM documents WHERE n_chars > 5000")
-def dense_ids(spark, d):
-    """Over a slice, as the SQL has it; ``dense_ids_whole`` numbers all documents."""
-    return _dense_ids(table(spark, d, "documents").filter("n_chars > 5000"))
-
-
 @query("SELECT doc_id, 'DOC-' || lpad(n, greatest(5, length(n))::INT, '0') AS dense_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id)::VARCHAR AS n FROM documents)")
 def dense_ids_whole(spark, d):
     return _dense_ids(table(spark, d, "documents"))
