@@ -1,8 +1,7 @@
 """SentencePiece encoding and decoding as weighted finite-state transducers.
 
 Four machines are compiled from a model file: the normaliser (a byte trie whose leaves rewrite the longest match, then
-spaces as a visible mark), the lexicon (a trie over the pieces with failure arcs: one pass over an input puts out all
-pieces that end at each place), the fallback (characters
+spaces as a visible mark), the lexicon (a trie over the pieces; a leaf puts out its piece), the fallback (characters
 that no piece has, put out as bytes or as the unknown piece) and an acceptor over pairs of pieces.  An input passes the
 normaliser; what comes out is composed with lexicon and fallback into a lattice, whose arcs are pieces with weights;
 the shortest path in the tropical semiring (minimum, plus) from its first to its last state is the encoding.
@@ -33,7 +32,7 @@ from pyspark.sql import types as T
 from trellis.llm.common import doc_texts, map_arrow
 
 MARK = "▁"
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 PAIR_ENTRIES = 500_000
 CACHED_CHARS = 48
 MAX_PIECES = 1 << 20
@@ -158,7 +157,6 @@ class PieceTransducer:
     """Lexicon, fallback and pair acceptor of a model, and their composition with texts."""
 
     def __init__(self, data: bytes):
-        import ahocorasick
         import regex
 
         pieces, trainer, normaliser = read_model(data)
@@ -184,25 +182,22 @@ class PieceTransducer:
                 self.out.append(b"" if kind == _CONTROL else surface if kind == _UNKNOWN else t.replace(MARK, " ").encode())
         self.pairs: dict[int, float] = {}
         self.alone: dict[str, bytes] = {}
-        # The lexicon puts out (piece, length, weight).
-        self.lexicon, self.singles = ahocorasick.Automaton(), set()
+        # The lexicon: a state has its arcs, and the piece that it puts out (none: -1).
+        self.lexicon, self.singles, self.weights = [{}, -1], set(), [0.0] * len(pieces)
         for i, (t, score, kind) in enumerate(pieces):
             # Of a BPE model only pieces that BPE itself makes of their characters can be on a path.
             if kind == _NORMAL and t and (self.kind == _UNIGRAM or self._bpe(t) == [t]):
-                self.lexicon.add_word(t, (i, len(t), -score if self.kind == _UNIGRAM else 0.0))
+                state = self.lexicon
+                for c in t:
+                    state = state[0].setdefault(c, [{}, -1])
+                state[1] = i
                 if len(t) == 1:
                     self.singles.add(t)
-                if self.kind == _BPE:
+                if self.kind == _UNIGRAM:
+                    self.weights[i] = -score
+                else:
                     # A chunk that is such a piece has it as its path.
                     self.alone[t] = struct.pack("<i", i)
-        self.lexicon.make_automaton()
-        # The same trie by itself, for a search that goes forward: a state has its arcs and the piece that it puts out.
-        self.trie: list = [{}, -1]
-        for _, (i, _, _) in self.lexicon.items() if self.kind == _BPE else ():
-            state = self.trie
-            for c in self.text[i]:
-                state = state[0].setdefault(c, [{}, -1])
-            state[1] = i
         # If no piece joins a character to a mark after it, no path crosses such a place.
         apart = not any(MARK in t.lstrip(MARK) for t in self.score)
         self.chunks = regex.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall if apart else lambda text: [text]
@@ -254,7 +249,7 @@ class PieceTransducer:
         All weights are 0 or infinity there, and exactly one path of each prefix is finite.  So the finite path is
         found depth first, long arcs first; a state from which no finite arc leads on is never entered again.
         """
-        n, pairs, sizes, root = len(chunk), self.pairs, self.sizes, self.trie[0]
+        n, pairs, sizes, root = len(chunk), self.pairs, self.sizes, self.lexicon[0]
         path: list[int] = []
         others: list[list[int]] = []
         dead: set[int] = set()
@@ -297,34 +292,31 @@ class PieceTransducer:
     def shortest_path(self, chunk: str) -> list[int]:
         """Piece ids of the path of least weight through the lattice of ``chunk`` (ties: the first one found).
 
-        The lattice is composed as the path is found, state by state: into each lead the lexicon's arcs, long ones
-        first, and where no piece is the character before it the fallback's.
+        The lattice is composed as the path is found: from each state lead the lexicon's arcs, short ones first, and
+        the fallback's where no piece is that one character.
         """
-        n, by_pairs, pairs, unknown = len(chunk), self.kind == _BPE, self.pairs, self.unknown_weight
+        n, root, weights, by_pairs = len(chunk), self.lexicon[0], self.weights, self.kind == _BPE
         weight = [INFINITY] * (n + 1)
         last, back = [-1] * (n + 1), [0] * (n + 1)
         weight[0] = 0.0
-        strange = [] if self.singles.issuperset(chunk) else [k for k, c in enumerate(chunk) if c not in self.singles]
-        next_strange = 0
-        for at, (piece, length, own) in self.lexicon.iter(chunk):
-            while next_strange < len(strange) and strange[next_strange] < at:
-                k = strange[next_strange]
-                next_strange += 1
-                if weight[k] + unknown < weight[k + 1]:
-                    weight[k + 1], last[k + 1], back[k + 1] = weight[k] + unknown, -1, k
-            end = at + 1
-            start = end - length
-            total = weight[start] + own
-            if total < weight[end]:
-                before = last[start]
-                if by_pairs and before >= 0:
-                    apart = pairs.get(before * MAX_PIECES + piece)
-                    total += self.pair_weight(before, piece) if apart is None else apart
-                if total < weight[end]:
-                    weight[end], last[end], back[end] = total, piece, start
-        for k in strange[next_strange:]:
-            if weight[k] + unknown < weight[k + 1]:
-                weight[k + 1], last[k + 1], back[k + 1] = weight[k] + unknown, -1, k
+        for start in range(n):
+            so_far, before, state, end = weight[start], last[start], root.get(chunk[start]), start + 1
+            if so_far == INFINITY:
+                continue
+            if (state is None or state[1] < 0) and so_far + self.unknown_weight < weight[end]:
+                weight[end], last[end], back[end] = so_far + self.unknown_weight, -1, start
+            while state is not None:
+                arcs, piece = state
+                if piece >= 0:
+                    total = so_far + weights[piece]
+                    if total < weight[end] and by_pairs:
+                        total += self.pair_weight(before, piece)
+                    if total < weight[end]:
+                        weight[end], last[end], back[end] = total, piece, start
+                if end == n:
+                    break
+                state = arcs.get(chunk[end])
+                end += 1
         ids: list[int] = []
         at = n
         while at:
@@ -442,7 +434,7 @@ def with_pieces(docs: DataFrame, model_path: str, text_col: str = "text") -> Dat
     keep = [k for k, c in enumerate(docs.columns) if c not in ("piece_ids", "decoded")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = machine_of(data.value)
+        machine = PieceTransducer(data.value)  # other stages follow in these workers: nothing is kept
         for batch in batches:
             ids = [machine.encode(t or "") for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], _id_lists(ids), pa.array([machine.decode(i) for i in ids], pa.string())], names=[*[batch.schema.names[k] for k in keep], "piece_ids", "decoded"])
