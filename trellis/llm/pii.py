@@ -228,10 +228,10 @@ def _syllables(form: Column, key: str, attempt: Column) -> Column:
     return F.when(attempt > 0, several).otherwise("")
 
 
-def name_part(form: Column, key: str, attempt: Column) -> Column:
-    """The surrogate of a lower-case name part."""
-    known = _given_names(key)
-    table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+def name_part(form: Column, key: str, attempt: Column | None = None) -> Column:
+    """The surrogate of a lower-case name part; without an attempt the first one."""
+    # One literal, and not one for each name: the plan stays small.
+    table = F.str_to_map(F.lit(",".join(f"{a}:{b}" for a, b in _given_names(key).items())), F.lit(","), F.lit(":"))
 
     def permuted(text: Column) -> Column:
         # Parts of three letters or more keep the last one, which often tells gender.
@@ -240,16 +240,18 @@ def name_part(form: Column, key: str, attempt: Column) -> Column:
         return F.concat(_permute_text(F.substring(text, F.lit(1), n - keep), key, "name", F.substring(text, n - keep + 1, keep)), F.substring(text, n - keep + 1, keep))
 
     # A result that is itself a known given name goes round once more, which keeps different parts different.
-    rounds = F.aggregate(F.sequence(F.lit(1), F.lit(3)), form, lambda s, k: F.when((k == 1) | s.isin(list(known)), permuted(s)).otherwise(s))
-    return F.concat(F.coalesce(F.try_element_at(table, form), rounds), _syllables(form, key, attempt))
+    rounds = F.aggregate(F.sequence(F.lit(1), F.lit(3)), form, lambda s, k: F.when((k == 1) | F.map_contains_key(table, s), permuted(s)).otherwise(s))
+    first = F.coalesce(F.try_element_at(table, form), rounds)
+    return first if attempt is None else F.concat(first, _syllables(form, key, attempt))
 
 
-def email(form: Column, key: str, attempt: Column) -> Column:
+def email(form: Column, key: str, attempt: Column | None = None) -> Column:
     """The surrogate of a lower-case address: addresses of one domain stay together, the last label stays."""
     local, domain = F.substring_index(form, "@", 1), F.substring_index(form, "@", -1)
     end = F.substring_index(domain, ".", -1)
     host = F.substring(domain, F.lit(1), F.length(domain) - F.length(end) - 1)
-    return F.concat(_permute_text(local, key, "email", domain), _syllables(F.concat(F.lit("a"), form), key, attempt), F.lit("@"), _permute_text(host, key, "domain", end), F.lit("."), end)
+    more = F.lit("") if attempt is None else _syllables(F.concat(F.lit("a"), form), key, attempt)
+    return F.concat(_permute_text(local, key, "email", domain), more, F.lit("@"), _permute_text(host, key, "domain", end), F.lit("."), end)
 
 
 #: Days of the span that dates are permuted in (a prime, about 120 years), and where the first one begins.
@@ -406,7 +408,7 @@ def replace_pii(docs: DataFrame, key: str = DEMO_KEY, text_col: str = "text", co
         override = F.col("__map")
 
     def drawn(kind: str, form: Column) -> Column:
-        first = _drawn(F.lit(kind), form, key, F.lit(0))
+        first = email(form, key) if kind == "email" else name_part(form, key)
         return first if override is None else F.coalesce(F.try_element_at(override, kind_form(F.lit(kind), form)), first)
 
     def swapped_name(e: Column) -> Column:
