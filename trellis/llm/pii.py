@@ -151,6 +151,11 @@ def _keyed(key: str, *parts) -> Column:
 
 
 def _permute_digits(digits: Column, key: str, *tweak) -> Column:
+    """``_digits_permuted`` of digits that are computed once."""
+    return _let(digits, lambda d: _digits_permuted(d, key, *tweak))
+
+
+def _digits_permuted(digits: Column, key: str, *tweak) -> Column:
     """A keyed permutation of all digit strings of this length (at most 18): a Feistel network of two halves."""
     n = F.length(digits)
     a, b = F.floor(n / 2).cast("int"), (n - F.floor(n / 2)).cast("int")
@@ -171,9 +176,14 @@ def _permute_digits(digits: Column, key: str, *tweak) -> Column:
 
 def _permute_long(digits: Column, key: str, *tweak) -> Column:
     """As ``_permute_digits``, for any length: blocks of 16 digits, each tweaked by the ones before it."""
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.length(digits) - 1) / 16).cast("int")), lambda k: F.substring(digits, k * 16 + 1, F.lit(16)))
-    earlier = lambda k: F.substring(digits, F.lit(1), k * 16)
-    return F.when(F.length(digits) == 0, "").otherwise(F.array_join(F.transform(blocks, lambda x, k: _permute_digits(x, key, *tweak, k.cast("string"), earlier(k))), ""))
+
+
+    def permuted(d: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.length(d) - 1) / 16).cast("int")), lambda k: F.substring(d, k * 16 + 1, F.lit(16)))
+        earlier = lambda k: F.substring(d, F.lit(1), k * 16)
+        return F.when(F.length(d) == 0, "").otherwise(F.array_join(F.transform(blocks, lambda x, k: _digits_permuted(x, key, *tweak, k.cast("string"), earlier(k))), ""))
+
+    return _let(digits, permuted)
 
 
 def _turn_letter(c: Column, x: Column) -> Column:
@@ -184,9 +194,13 @@ def _turn_letter(c: Column, x: Column) -> Column:
 
 def _permute_text(text: Column, key: str, *tweak) -> Column:
     """A keyed permutation of the lower-case texts of one shape: each letter stays in its alphabet (Feistel, two halves)."""
-    chars = F.split(text, "")
-    half = F.floor(F.size(chars) / 2).cast("int")
-    start = F.struct(F.slice(chars, F.lit(1), half).alias("l"), F.slice(chars, half + 1, F.size(chars)).alias("r"))
+
+
+    def halves(chars: Column) -> Column:
+        half = F.floor(F.size(chars) / 2).cast("int")
+        return F.struct(F.slice(chars, F.lit(1), half).alias("l"), F.slice(chars, half + 1, F.size(chars)).alias("r"))
+
+    start = _let(F.split(text, ""), halves)
 
     def shift(part: Column, other: Column, k: Column, side: str) -> Column:
         stream = _hash(key, *tweak, k.cast("string"), side, F.array_join(other, ""), bits=512)
@@ -270,6 +284,10 @@ def _date(form: Column, key: str) -> Column:
 
 def _mixed(text: Column, key: str, kind: str, tweak: Column) -> Column:
     """Digits permuted by what the letters are, each letter moved on by its place: different texts stay different."""
+    return _let(text, lambda t: _mixed_once(t, key, kind, tweak))
+
+
+def _mixed_once(text: Column, key: str, kind: str, tweak: Column) -> Column:
     shape = F.regexp_replace(text, "[0-9]", "9")
     new_digits = _permute_long(F.regexp_replace(text, "[^0-9]", ""), key, kind, shape, tweak)
     moved = lambda c, i: F.upper(F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), ((F.ascii(c) - 65 + _keyed(key, kind, "letter", i.cast("string")) % 25 + 1) % 26 + 1).cast("int"), F.lit(1)))
@@ -412,11 +430,13 @@ def replace_pii(docs: DataFrame, key: str = DEMO_KEY, text_col: str = "text", co
         return first if override is None else F.coalesce(F.try_element_at(override, kind_form(F.lit(kind), form)), first)
 
     def swapped_name(e: Column) -> Column:
-        word = lambda t, i: F.when(_is_part(t, i), F.concat(_recased(F.regexp_replace(t, "[.,]$", ""), drawn("name", _part_form(t))), F.regexp_extract(t, "([.,]?)$", 1))).otherwise(t)
+        own = lambda t: _let(_part_form(t), lambda f: drawn("name", f))
+        recased = lambda t: _let(F.regexp_replace(t, "[.,]$", ""), lambda old: _let(own(t), lambda fresh: _recased(old, fresh)))
+        word = lambda t, i: F.when(_is_part(t, i), F.concat(recased(t), F.regexp_extract(t, "([.,]?)$", 1))).otherwise(t)
         return F.array_join(F.transform(F.split(e, " "), word), " ")
 
     def swapped(e: Column) -> Column:
-        new = lambda k: F.when(k == "email", drawn("email", F.lower(e))).otherwise(number(k, canonical(e, k), key))
+        new = lambda k: F.when(k == "email", _let(F.lower(e), lambda f: drawn("email", f))).otherwise(_let(canonical(e, k), lambda f: number(k, f, key)))
         return _let(entity_type(e), lambda k: F.when(k == "name", swapped_name(e)).otherwise(_let(new(k), lambda f: _written(e, k, f))))
 
     woven = F.array_join(F.transform("__pieces", lambda p, i: F.when(i % 2 == 1, swapped(p)).otherwise(p)), "")
