@@ -1,5 +1,8 @@
 """Linkage operators against plain Python."""
 
+import difflib
+import random
+
 from trellis.operators import link
 from trellis.plans import link_queries
 
@@ -66,3 +69,42 @@ def test_content_clusters(spark, monkeypatch):
         monkeypatch.setattr(link, "TILE", tile)
         got = {r["id"]: r["cluster"] for r in link.content_clusters(df, "block", "id", "text", "items", ["n"]).collect()}
         assert got == {k: find(k) for k in root}
+
+
+def test_unlike_texts_of_a_block_take_few_matchers(monkeypatch):
+    """Links of a tile are those of every pair; of unlike texts with one first sentence hardly a pair needs difflib."""
+    rng = random.Random(5)
+    sounds = ["th", "er", "in", "the", "an", "ou", "st", "ha", "re", "ed", "wh", "ing", "ó", "文", "😀"]
+    word = lambda: "".join(rng.choice(sounds) for _ in range(rng.randint(1, 4)))
+    text = lambda n: "one first sentence of all. " + " ".join(word() for _ in range(n))
+    texts = [text(rng.choice([0, 5, 40, 120])) for _ in range(40)]
+    for k in range(12):
+        other = list(texts[k])
+        for _ in range(len(other) // rng.choice([3, 5, 50])):
+            other[rng.randrange(len(other))] = rng.choice("xyz ")
+        texts.append("".join(other[rng.randrange(20) :]))
+    # No two are equal: equal rows are one class before a tile is made.
+    texts = list(dict.fromkeys(texts)) + ["", "a" * 200, "a" * 150 + "b" * 100, "ab" * 90, "ba" * 120]
+    items = [frozenset(rng.sample("uvwxyz", rng.randint(0, 4))) for _ in texts]
+    matcher, seen = difflib.SequenceMatcher, []
+    for split in (None, 20):
+        pairs = [(x, y) for x in range(split or 0, len(texts)) for y in range(x if split is None else split)]
+        want, made = link._Forest(range(len(texts))), link._Forest(range(len(texts)))
+        for x, y in pairs:
+            if link._alike((texts[x], items[x], ()), (texts[y], items[y], ()), 0.5, 300):
+                want.join(x, y)
+        with monkeypatch.context() as m:
+            m.setattr(difflib, "SequenceMatcher", lambda *a, **k: seen.append(1) or matcher(*a, **k))
+            for u, v in link._tile_links(list(range(len(texts))), texts, items, split, 0.5, 300):
+                made.join(u, v)
+        assert [made.find(k) for k in made.root] == [want.find(k) for k in want.root]
+    assert len(seen) < len(texts) ** 2 // 20
+
+
+def test_content_clusters_of_odd_rows(spark):
+    """Equal rows, repeated keys, and rows without a block or key."""
+    body = " ".join(f"word{k}" for k in range(30))
+    rows = [(1, "b", body), (2, "b", body), (3, "b", "short"), (4, "b", "short"), (5, "c", "short"), (6, None, "short"), (7, None, "short"), (None, "b", "short"), (4, "b", body), (None, "d", "x")]
+    got = link.content_clusters(spark.createDataFrame(rows, "id long, block string, text string"), "block", "id", "text").collect()
+    clusters = sorted((r["id"] or 0, r["cluster"] or 0) for r in got)
+    assert clusters == [(0, 0), (0, 1), (1, 1), (2, 1), (3, 1), (4, 1), (4, 1), (5, 5), (6, 6), (7, 7)]
