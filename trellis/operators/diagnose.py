@@ -119,22 +119,31 @@ def match_cases(cases: DataFrame, rows: DataFrame, case: str, row: str, said: st
     A row passes with MATCH_LEAST matched fields and MATCH_RATIO of its observable ones; with ``idf`` (term, idf) one
     matched field must reach ``peak``.  Candidates share a word or a concept with the case: an equi-join.
     """
-    observed = rows.select(row, F.filter(fields(F.col(cell)), lambda f: ~is_pulse_field(f)).alias("__f")).withColumn("__n", F.size("__f")).filter("__n > 0")
+    observed = rows.select(row, F.filter(fields(F.col(cell)), lambda f: ~is_pulse_field(f)).alias("__f")).filter(F.size("__f") > 0)
+    # Cases that say the same and rows with the same fields are classes: classes are matched, then their members put out.
+    # A class is told by a hash of its own array; rows and cases without a key pass nothing.
+    name = lambda c: F.unhex(F.sha2(F.to_json(F.struct(c)), 256))
+    whose = cases.filter(F.col(case).isNotNull()).select(case, F.col(said).alias("__s")).withColumn("__u", name("__s"))
+    where = observed.filter(F.col(row).isNotNull()).withColumn("__v", name("__f"))
+    says, shows = whose.select("__u", "__s").distinct(), where.select("__v", "__f").distinct()
     keys = lambda xs: F.explode(F.array_distinct(F.flatten(F.transform(xs, lambda x: F.concat(F.split(F.lower(F.trim(x)), r"\s+"), F.transform(concepts_of(x), lambda c: F.concat(F.lit("#"), c)))))))
-    meet = cases.select(case, keys(F.col(said)).alias("__k")).join(observed.select(row, keys(F.col("__f")).alias("__k")), "__k").select(case, row).distinct()
-    pairs = meet.join(cases.select(case, said), case).join(observed, row)
-    ways = F.transform("__f", lambda f: F.struct(f.alias("field"), match_way(f, F.col(said)).alias("way")))
+    meet = says.select("__u", keys(F.col("__s")).alias("__k")).join(shows.select("__v", keys(F.col("__f")).alias("__k")), "__k").select("__u", "__v").distinct()
+    pairs = meet.join(says, "__u").join(shows, "__v")
+    ways = F.transform("__f", lambda f: F.struct(f.alias("field"), match_way(f, F.col("__s")).alias("way")))
     hit = F.filter(ways, lambda w: w["way"].isNotNull())
     told = F.filter(hit, lambda w: w["way"] < 3)
     bridged = F.array_distinct(F.flatten(F.transform(F.filter(hit, lambda w: w["way"] == 3), lambda w: concepts_of(w["field"]))))
     known = F.array_distinct(F.flatten(F.transform(told, lambda w: concepts_of(w["field"]))))
     matched = F.size(told) + F.size(F.array_except(bridged, known))
-    out = pairs.select(case, row, matched.alias("matched"), F.col("__n").alias("observable"), F.transform(hit, lambda w: F.lower(F.trim(w["field"]))).alias("__hits"))
-    out = out.withColumn("ratio", F.col("matched") / F.col("observable")).filter((F.col("matched") >= MATCH_LEAST) & (F.col("ratio") >= MATCH_RATIO))
+    alike = pairs.select("__u", "__v", matched.alias("matched"), F.size("__f").alias("observable"), F.transform(hit, lambda w: F.lower(F.trim(w["field"]))).alias("__hits"))
+    alike = alike.withColumn("ratio", F.col("matched") / F.col("observable")).filter((F.col("matched") >= MATCH_LEAST) & (F.col("ratio") >= MATCH_RATIO))
     if idf is not None:
-        top = out.select(case, row, F.explode("__hits").alias("term")).join(idf, "term").groupBy(case, row).agg(F.max("idf").alias("__peak")).filter(F.col("__peak") >= peak)
-        out = out.join(top, [case, row], "left_semi")
-    return out.drop("__hits")
+        top = alike.select("__u", "__v", F.explode("__hits").alias("term")).join(idf, "term").groupBy("__u", "__v").agg(F.max("idf").alias("__peak")).filter(F.col("__peak") >= peak)
+        alike = alike.join(top, ["__u", "__v"], "left_semi")
+    # Rows are dealt evenly, by their own key, before each is put out with all the cases that it passes.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    met = where.select(row, "__v").repartition(parts, row).join(alike.drop("__hits"), "__v").drop("__v")
+    return met.join(whose.select(case, "__u"), "__u").select(case, row, "matched", "observable", "ratio")
 
 
 def symptom_idf(rows: DataFrame, row: str, cell: str) -> DataFrame:
