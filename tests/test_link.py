@@ -2,8 +2,11 @@
 
 import difflib
 import random
+import tracemalloc
 
-from trellis.operators import link
+import numpy as np
+
+from trellis.operators import link, sequences
 from trellis.plans import link_queries
 
 
@@ -108,3 +111,44 @@ def test_content_clusters_of_odd_rows(spark):
     got = link.content_clusters(spark.createDataFrame(rows, "id long, block string, text string"), "block", "id", "text").collect()
     clusters = sorted((r["id"] or 0, r["cluster"] or 0) for r in got)
     assert clusters == [(0, 0), (0, 1), (1, 1), (2, 1), (3, 1), (4, 1), (4, 1), (5, 5), (6, 6), (7, 7)]
+
+
+LOOKED_AT = 3000  # places a pair
+
+
+def _prose(rng, n: int) -> str:
+    """About n characters of words that differ from text to text, as unlike texts of one language have."""
+    sounds, text = ["th", "er", "in", "the", "an", "ou", "st", "ha", "re", "ed", "wh", "ing", "on", "ti", "es", "or"], ""
+    while len(text) < n:
+        text += "".join(rng.choice(sounds) for _ in range(rng.randint(1, 4))) + " "
+    return text
+
+
+def test_ratios_of_whole_texts_equal_difflib():
+    """Whole texts of all lengths, near copies, moved parts, repeats, and more characters than a byte numbers."""
+    rng = random.Random(13)
+    texts = [_prose(rng, n) for n in (90, 400, 700, 700, 1000)] + ["a" * 300, "ab" * 200, "", "".join(chr(0x4E00 + rng.randrange(400)) for _ in range(300))]
+    for t in texts[:5]:
+        other = list(t)
+        for _ in range(len(t) // 3):
+            other[rng.randrange(len(t))] = rng.choice("xyz 😀")
+        texts += ["".join(other), t[len(t) // 3 :] + t[: len(t) // 3]]
+    n = len(texts)
+    got = sequences.Sequences(texts, 0.5).alike(np.arange(n), np.ones((n, n), bool))
+    ratio = lambda a, b: difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
+    assert got.tolist() == [[ratio(a, b) >= 0.5 or ratio(b, a) >= 0.5 for b in texts] for a in texts]
+
+
+def test_unlike_whole_texts_take_few_places_and_little_memory(monkeypatch):
+    """Pairs of unlike texts are told apart by few of their common runs, and a tile takes memory by its characters."""
+    rng = random.Random(17)
+    texts = [_prose(rng, 3000) for _ in range(60)]
+    ranges, seen = sequences._ranges, []
+    monkeypatch.setattr(sequences, "_ranges", lambda lo, count: seen.append(int(count.sum())) or ranges(lo, count))
+    assert link._tile_links(list(range(60)), texts, [frozenset()] * 60, None, 0.5, None) == []
+    assert sum(seen) < LOOKED_AT * 60 * 59 / 2
+    tracemalloc.start()
+    link._tile_links(list(range(151)), [*texts, *[_prose(rng, 100) for _ in range(90)], "z" * 100_000], [frozenset()] * 151, None, 0.5, None)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 400e6
