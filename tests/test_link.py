@@ -124,6 +124,22 @@ def _prose(rng, n: int) -> str:
     return text
 
 
+def test_content_clusters_look_at_whole_texts(spark):
+    """Texts that are alike only far from their beginning are linked, and those that are alike only there are not."""
+    rng = random.Random(11)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    tail, head = letters(2000), letters(700)
+    texts = [letters(700) + tail, letters(700) + tail[:1000] + "-" + tail[1001:], head + letters(2400), head + letters(2400), letters(2700)]
+    rows = [(k, "b", t) for k, t in enumerate(texts)]
+    want = link._Forest(range(len(texts)))
+    for x in range(len(texts)):
+        for y in range(x):
+            if link._alike((texts[x], frozenset(), ()), (texts[y], frozenset(), ()), 0.5, None):
+                want.join(x, y)
+    got = {r["id"]: r["cluster"] for r in link.content_clusters(spark.createDataFrame(rows, "id long, block string, text string"), "block", "id", "text").collect()}
+    assert got == {k: want.find(k) for k in want.root} == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4}
+
+
 def test_ratios_of_whole_texts_equal_difflib():
     """Whole texts of all lengths, near copies, moved parts, repeats, and more characters than a byte numbers."""
     rng = random.Random(13)
